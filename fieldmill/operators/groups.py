@@ -76,24 +76,36 @@ def group_stats(
 def top_per_group(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: str,
+    descending: bool = True,
     ties: str = "all",
-    tiebreak: Sequence[Column] = (),
+    tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """The first row of each group by ``order``.
+    """The first row of each group by ``order``, nulls last.
 
-    ``ties="all"`` keeps every row that shares the first place; ``ties="one"`` keeps one and needs a
-    ``tiebreak``, so that the choice does not depend on the row order. Each task keeps only its own
-    leaders before the shuffle.
+    ``ties="all"`` keeps every row that shares the first place, as ``rank() = 1`` would. The best
+    value per group is aggregated and joined back, so that a first place shared by very many rows is
+    not gathered in one task; the input is read twice and must be deterministic.
+
+    ``ties="one"`` keeps one row, as ``row_number() = 1`` would, and needs a ``tiebreak``, so that the
+    choice does not depend on the row order. Each task keeps only its own leader of a group before
+    the shuffle.
     """
+    value = F.col(quoted(order))
     if ties == "all":
-        place = F.rank().over(Window.partitionBy(*keys).orderBy(*order))
-    elif ties == "one":
-        if not tiebreak:
-            raise ValueError("ties='one' needs a tiebreak")
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, *tiebreak))
-    else:
+        best = df.groupBy(*[F.col(quoted(key)).alias(f"__{key}") for key in keys]).agg(
+            (F.max(value) if descending else F.min(value)).alias("__best")
+        )
+        on = [F.col(quoted(key)).eqNullSafe(F.col(quoted(f"__{key}"))) for key in keys]
+        on.append(value.eqNullSafe(F.col("__best")))
+        return df.join(best, on).drop("__best", *[f"__{key}" for key in keys])
+    if ties != "one":
         raise ValueError("ties must be 'all' or 'one'")
+    if not tiebreak:
+        raise ValueError("ties='one' needs a tiebreak")
+    ranking = [value.desc_nulls_last() if descending else value.asc_nulls_last()]
+    ranking += [F.col(quoted(name)).asc_nulls_last() for name in tiebreak]
+    place = F.row_number().over(Window.partitionBy(*map(quoted, keys)).orderBy(*ranking))
     return df.withColumn("__place", place).where(F.col("__place") == 1).drop("__place")
 
 
@@ -101,12 +113,10 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The most frequent non-null ``value`` of each group with its count ``n``; least value on a tie."""
     counted = (
         df.where(F.col(quoted(value)).isNotNull())
-        .groupBy(*keys, quoted(value))
+        .groupBy(*map(quoted, keys), quoted(value))
         .agg(F.count("*").alias("n"))
     )
-    return top_per_group(
-        counted, keys, [F.desc("n")], ties="one", tiebreak=[F.asc(quoted(value))]
-    )
+    return top_per_group(counted, keys, "n", ties="one", tiebreak=[value])
 
 
 def ratio_where(df: DataFrame, predicate: Column, keys: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from fieldmill.streaming import (
     silver_device,
     silver_imp,
     silver_site,
+    start_available,
     stream_json,
     stream_parquet,
 )
@@ -54,24 +55,29 @@ def update_bronze(
     return run_available(raw, tables.table("bronze"), tables.checkpoint("bronze"))
 
 
-def update_silver(
-    spark: SparkSession, tables: BidTables, stage: str, step: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Run a silver step over the bronze rows it has not seen."""
-    new_bids = stream_parquet(spark, tables.table("bronze"))
-    return run_available(step(new_bids), tables.table(stage), tables.checkpoint(stage))
-
-
-def update_device(spark: SparkSession, tables: BidTables) -> DataFrame:
-    return update_silver(spark, tables, "device", silver_device)
+SILVER_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "device": silver_device,
+    "imp": silver_imp,
+    "site": silver_site,
+}
 
 
-def update_imp(spark: SparkSession, tables: BidTables) -> DataFrame:
-    return update_silver(spark, tables, "imp", silver_imp)
-
-
-def update_site(spark: SparkSession, tables: BidTables) -> DataFrame:
-    return update_silver(spark, tables, "site", silver_site)
+def update_silver(
+    spark: SparkSession, tables: BidTables, stages: Sequence[str] = tuple(SILVER_STEPS)
+) -> dict[str, DataFrame]:
+    """Run silver steps over the bronze rows they have not seen, side by side, and wait for all."""
+    new_bids = stream_parquet(spark, tables.table("bronze"))
+    silver = {stage: SILVER_STEPS[stage](new_bids) for stage in stages}
+    running = [
+        start_available(table, tables.table(stage), tables.checkpoint(stage))
+        for stage, table in silver.items()
+    ]
+    for stream in running:
+        stream.awaitTermination()
+    return {
+        stage: spark.read.schema(table.schema).parquet(tables.table(stage))
+        for stage, table in silver.items()
+    }
 
 
 def build_gold(

@@ -70,15 +70,22 @@ def publish_births(spark: SparkSession, path: str, view: str = "birth_records")
 
 
 def top_names_sql(spark: SparkSession, view: str = "birth_records") -> DataFrame:
-    """Most frequent name of each year in SQL; names that share the first place are all kept."""
+    """Most frequent name of each year in SQL; names that share the first place are all kept.
+
+    The ranking runs over the distinct counts of a year and is joined back, so that the records
+    which share a first place are never gathered in one task.
+    """
     return spark.sql(
         f"""
         WITH placed AS (
-            SELECT year, first_name_clean, count,
-                   rank() OVER (PARTITION BY year ORDER BY count DESC) AS place
-            FROM `{view}`
+            SELECT year, count, rank() OVER (PARTITION BY year ORDER BY count DESC) AS place
+            FROM (SELECT DISTINCT year, count FROM `{view}`)
         )
-        SELECT first_name_clean, count, year FROM placed WHERE place = 1 ORDER BY year
+        SELECT births.first_name_clean, births.count, births.year
+        FROM `{view}` AS births
+        JOIN placed ON births.year <=> placed.year AND births.count <=> placed.count
+        WHERE placed.place = 1
+        ORDER BY births.year
         """
     )
 
@@ -93,9 +100,7 @@ def top_names(births: DataFrame, ties: str = "all", sum_first: bool = False) ->
     if sum_first:
         names = names.groupBy("first_name_clean", "year").agg(F.sum("count").alias("count"))
         names = names.select("first_name_clean", "count", "year")
-    best = top_per_group(
-        names, ["year"], [F.desc("count")], ties=ties, tiebreak=[F.asc("first_name_clean")]
-    )
+    best = top_per_group(names, ["year"], "count", ties=ties, tiebreak=["first_name_clean"])
     return best.orderBy("year", "first_name_clean")
 
 

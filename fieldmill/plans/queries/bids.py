@@ -18,10 +18,13 @@ def with_bronze(spark: SparkSession, folder: str) -> bids.BidTables:
     return tables
 
 
+def one_silver(spark: SparkSession, folder: str, stage: str) -> DataFrame:
+    return bids.update_silver(spark, with_bronze(spark, folder), [stage])[stage]
+
+
 def with_silver(spark: SparkSession, folder: str) -> bids.BidTables:
     tables = with_bronze(spark, folder)
-    for update in (bids.update_device, bids.update_imp, bids.update_site):
-        update(spark, tables)
+    bids.update_silver(spark, tables)
     return tables
 
 
@@ -55,7 +58,7 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
         FROM bids""",
 )
 def stream_silver_device(spark: SparkSession, folder: str) -> DataFrame:
-    return bids.update_device(spark, with_bronze(spark, folder))
+    return one_silver(spark, folder, "device")
 
 
 @query(
@@ -64,7 +67,7 @@ def stream_silver_device(spark: SparkSession, folder: str) -> DataFrame:
         SELECT imp_auction_id, imp_id, imp_bidfloor, h || 'x' || w || 'x' || pos AS imp_banner FROM imps""",
 )
 def stream_silver_imp(spark: SparkSession, folder: str) -> DataFrame:
-    return bids.update_imp(spark, with_bronze(spark, folder)).transform(flat_banner)
+    return one_silver(spark, folder, "imp").transform(flat_banner)
 
 
 @query(
@@ -74,7 +77,7 @@ def stream_silver_imp(spark: SparkSession, folder: str) -> DataFrame:
         FROM bids""",
 )
 def stream_silver_site(spark: SparkSession, folder: str) -> DataFrame:
-    return bids.update_site(spark, with_bronze(spark, folder))
+    return one_silver(spark, folder, "site")
 
 
 GOLD_SQL = f"""WITH {BIDS_SQL}, gold AS (
@@ -113,7 +116,7 @@ def gold_bids_expected(spark: SparkSession, folder: str) -> DataFrame:
 )
 def consent_report(spark: SparkSession, folder: str) -> DataFrame:
     """How many bids each expectation keeps and drops."""
-    site = bids.update_site(spark, with_bronze(spark, folder))
+    site = one_silver(spark, folder, "site")
     return expectation_report(
         site, {"valid_gdpr_status": bids.VALID_CONSENT, "known_app": "site_id IS NOT NULL"}
     )

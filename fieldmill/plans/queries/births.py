@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldmill.functions import infer_xml_schema
 from fieldmill.operators import array_to_columns, require_shape
 from fieldmill.plans import births
-from fieldmill.plans.registry import query
+from fieldmill.plans.registry import query, rounded_sql
 from fieldmill.plans.rehost import (
     BIRTHS_SQL,
     VISITS_SQL,
@@ -138,7 +138,7 @@ def visited_birth_count(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "avg_children_by_group",
     f"""WITH {VISITS_SQL}
-        SELECT county_clean, round(avg(num_visitors), 4) AS avg_num_visitors FROM births
+        SELECT county_clean, {rounded_sql("avg(num_visitors)", 4)} AS avg_num_visitors FROM births
         GROUP BY 1 ORDER BY avg(num_visitors) DESC, county_clean LIMIT 1""",
 )
 def avg_children_by_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,7 +150,7 @@ def avg_children_by_group(spark: SparkSession, folder: str) -> DataFrame:
     "mean_visitor_age",
     f"""WITH {VISITS_SQL}, means AS (
             SELECT event_id, sum(coalesce(age, 0)) / count(*) AS mean FROM visitors GROUP BY 1)
-        SELECT county_clean, round(avg(mean), 4) AS avg_age
+        SELECT county_clean, {rounded_sql("avg(mean)", 4)} AS avg_age
         FROM births LEFT JOIN means USING (event_id) GROUP BY 1""",
 )
 def mean_visitor_age(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,7 +161,7 @@ def mean_visitor_age(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "mean_visitor_age_pooled",
     f"""WITH {VISITS_SQL}
-        SELECT county_clean, round(sum(coalesce(age, 0)) / count(*), 4) AS avg_age
+        SELECT county_clean, {rounded_sql("sum(coalesce(age, 0)) / count(*)", 4)} AS avg_age
         FROM visitors GROUP BY 1""",
 )
 def mean_visitor_age_pooled(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmill.plans import flights
-from fieldmill.plans.registry import query
+from fieldmill.plans.registry import query, rounded_sql
 from fieldmill.plans.rehost import FLIGHT_FIELDS, flight_files, select_list
 
 
@@ -40,16 +40,19 @@ PREPARED_SQL = f"""
 """
 
 
-def prepared_flights(spark: SparkSession, folder: str) -> DataFrame:
+def prepared_flights(spark: SparkSession, folder: str, drop_empty: bool = False) -> DataFrame:
     first, rest, airport_codes = flight_files(spark, folder)
     return flights.prepare_flights(
-        flights.load_flights(spark, first, rest), flights.load_airports(spark, airport_codes)
+        flights.load_flights(spark, first, rest),
+        flights.load_airports(spark, airport_codes),
+        drop_empty=drop_empty,
     )
 
 
 @query("flights_prepared", f"WITH {PREPARED_SQL} SELECT * FROM prepared")
 def flights_prepared(spark: SparkSession, folder: str) -> DataFrame:
-    return prepared_flights(spark, folder).withColumn("date", F.col("date").cast("string"))
+    prepared = prepared_flights(spark, folder, drop_empty=True)
+    return prepared.withColumn("date", F.col("date").cast("string"))
 
 
 @query(
@@ -75,7 +78,7 @@ def flights_most_delayed(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {PREPARED_SQL}, means AS (
             SELECT uniquecarrier, avg(arrdelay) AS mean FROM prepared
             WHERE uniquecarrier IS NOT NULL AND arrdelay IS NOT NULL GROUP BY 1)
-        SELECT uniquecarrier, round(mean, 4) AS avgdelay,
+        SELECT uniquecarrier, {rounded_sql("mean", 4)} AS avgdelay,
                CASE WHEN mean > 15 THEN 'Late' WHEN mean < 0 THEN 'Early' ELSE 'On-time' END
                    AS avg_early_or_late
         FROM means""",
@@ -90,7 +93,7 @@ def flights_timing(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {PREPARED_SQL}
         SELECT date, origcity, uniquecarrier, flightnum, crsdeptime, isdepdelay, depdelay,
                min(depdelay) OVER w AS depdelmin, max(depdelay) OVER w AS depdelmax,
-               round(avg(depdelay) OVER w, 2) AS depdelavg, CAST(sum(depdelay) OVER w AS BIGINT) AS depdelsum
+               {rounded_sql("avg(depdelay) OVER w", 2)} AS depdelavg, CAST(sum(depdelay) OVER w AS BIGINT) AS depdelsum
         FROM prepared WHERE isdepdelay = 1 AND cancelled = 0
         WINDOW w AS (PARTITION BY date, origcity)""",
 )

@@ -21,7 +21,7 @@ from fieldmill.operators import (
     top_per_group,
 )
 from fieldmill.plans import flights
-from fieldmill.plans.registry import query
+from fieldmill.plans.registry import query, rounded_sql
 from fieldmill.sources import load_table
 
 
@@ -42,7 +42,7 @@ SHIPMENTS_SQL = """shipments AS (
 
 TIMING_SQL = f"""WITH {SHIPMENTS_SQL}, means AS (
         SELECT l_suppkey, avg(delay) AS mean FROM shipments GROUP BY l_suppkey)
-    SELECT l_suppkey, round(mean, 4) AS avgdelay,
+    SELECT l_suppkey, {rounded_sql("mean", 4)} AS avgdelay,
            CASE WHEN mean > 15 THEN 'Late' WHEN mean < 0 THEN 'Early' ELSE 'On-time' END
                AS avg_early_or_late
     FROM means"""
@@ -67,7 +67,7 @@ def timing_label_udf_by_supplier(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "avg_by_key_desc",
     f"""WITH {SHIPMENTS_SQL}
-        SELECT l_returnflag, round(avg(delay), 4) AS avgdelay FROM shipments GROUP BY 1 ORDER BY 2 DESC""",
+        SELECT l_returnflag, {rounded_sql("avg(delay)", 4)} AS avgdelay FROM shipments GROUP BY 1 ORDER BY 2 DESC""",
 )
 def avg_by_key_desc(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(flights.mean_delay(shipments(spark, folder), "l_returnflag", "delay"), "avgdelay")
@@ -78,7 +78,7 @@ def avg_by_key_desc(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {SHIPMENTS_SQL}, shares AS (
             SELECT l_suppkey, avg(CASE WHEN delay > 0 THEN 1 ELSE 0 END) AS share
             FROM shipments GROUP BY 1)
-        SELECT l_suppkey, round(share, 4) AS avg_isdelay,
+        SELECT l_suppkey, {rounded_sql("share", 4)} AS avg_isdelay,
                CASE WHEN share > 0.5 THEN 'late' ELSE 'early' END AS avg_early_or_late FROM shares""",
 )
 def majority_label_by_supplier(spark: SparkSession, folder: str) -> DataFrame:
@@ -197,8 +197,8 @@ def distinct_value_sets_of_orders(spark: SparkSession, folder: str) -> DataFrame
 
 @query(
     "conditional_ratio",
-    """SELECT count(*) FILTER (WHERE x * x + y * y < 1) AS n_passed, count(*) AS n,
-              round(count(*) FILTER (WHERE x * x + y * y < 1) / count(*), 6) AS ratio
+    f"""SELECT count(*) FILTER (WHERE x * x + y * y < 1) AS n_passed, count(*) AS n,
+              {rounded_sql("count(*) FILTER (WHERE x * x + y * y < 1) / count(*)", 6)} AS ratio
        FROM (SELECT (l_partkey * 7919 % 1000) / 500.0 - 1 AS x, (l_orderkey * 6007 % 1000) / 500.0 - 1 AS y
              FROM lineitem)""",
 )
@@ -214,8 +214,8 @@ def conditional_ratio(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "conditional_ratio_by_key",
-    """SELECT l_returnflag, count(*) FILTER (WHERE l_discount > 0.05) AS n_passed, count(*) AS n,
-              round(count(*) FILTER (WHERE l_discount > 0.05) / count(*), 4) AS ratio
+    f"""SELECT l_returnflag, count(*) FILTER (WHERE l_discount > 0.05) AS n_passed, count(*) AS n,
+              {rounded_sql("count(*) FILTER (WHERE l_discount > 0.05) / count(*)", 4)} AS ratio
        FROM lineitem GROUP BY 1""",
 )
 def conditional_ratio_by_key(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,7 +242,7 @@ TOP_RANK_SQL = f"""WITH {YEARLY_SQL}
 
 @query("top_per_year_rank", TOP_RANK_SQL)
 def top_per_year_rank(spark: SparkSession, folder: str) -> DataFrame:
-    return top_per_group(yearly_orders(spark, folder), ["year"], [F.desc("thousands")])
+    return top_per_group(yearly_orders(spark, folder), ["year"], "thousands")
 
 
 @query(
@@ -255,9 +255,9 @@ def top_per_year_rownum(spark: SparkSession, folder: str) -> DataFrame:
     return top_per_group(
         yearly_orders(spark, folder),
         ["year"],
-        [F.desc("thousands")],
+        "thousands",
         ties="one",
-        tiebreak=[F.asc("o_orderkey")],
+        tiebreak=["o_orderkey"],
     )
 
 
@@ -266,9 +266,12 @@ def top_per_year_sql(spark: SparkSession, folder: str) -> DataFrame:
     view = f"yearly_orders_{uuid.uuid4().hex}"
     yearly_orders(spark, folder).createOrReplaceTempView(view)
     return spark.sql(
-        f"""SELECT year, o_orderkey, thousands
-            FROM (SELECT *, rank() OVER (PARTITION BY year ORDER BY thousands DESC) AS place FROM {view})
-            WHERE place = 1 ORDER BY year"""
+        f"""WITH placed AS (
+                SELECT year, thousands, rank() OVER (PARTITION BY year ORDER BY thousands DESC) AS place
+                FROM (SELECT DISTINCT year, thousands FROM {view}))
+            SELECT o.year, o.o_orderkey, o.thousands
+            FROM {view} o JOIN placed p ON o.year <=> p.year AND o.thousands <=> p.thousands
+            WHERE p.place = 1 ORDER BY o.year"""
     )
 
 
@@ -287,7 +290,7 @@ def top_totals_per_year(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy(F.year("o_orderdate").alias("year"), "o_custkey")
         .agg(F.count("*").alias("n"))
     )
-    return top_per_group(totals, ["year"], [F.desc("n")], "one", [F.asc("o_custkey")])
+    return top_per_group(totals, ["year"], "n", ties="one", tiebreak=["o_custkey"])
 
 
 @query(
@@ -319,9 +322,9 @@ def rank_difference(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "window_group_stats",
-    """SELECT strftime(l_shipdate, '%Y-%m-%d') AS shipdate, l_returnflag, l_partkey, l_quantity,
+    f"""SELECT strftime(l_shipdate, '%Y-%m-%d') AS shipdate, l_returnflag, l_partkey, l_quantity,
               min(l_quantity) OVER w AS qtymin, max(l_quantity) OVER w AS qtymax,
-              round(avg(l_quantity) OVER w, 2) AS qtyavg, sum(l_quantity) OVER w AS qtysum
+              {rounded_sql("avg(l_quantity) OVER w", 2)} AS qtyavg, sum(l_quantity) OVER w AS qtysum
        FROM lineitem WINDOW w AS (PARTITION BY l_shipdate, l_returnflag)""",
 )
 def window_group_stats(spark: SparkSession, folder: str) -> DataFrame:

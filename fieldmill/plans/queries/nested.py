@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldmill.functions import array_mean, array_sum, element_count
 from fieldmill.operators import flatten_struct, prefix_columns
-from fieldmill.plans.registry import query
+from fieldmill.plans.registry import query, rounded_sql
 from fieldmill.sources import load_table
 
 
@@ -72,7 +72,7 @@ def word_sizes(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "array_mean_by_group",
     f"""WITH {WORDS_SQL}
-        SELECT role, count(*) AS n, round(avg(list_sum(sizes) / len(sizes)), 4) AS mean_word
+        SELECT role, count(*) AS n, {rounded_sql("avg(list_sum(sizes) / len(sizes))", 4)} AS mean_word
         FROM words GROUP BY role""",
 )
 def array_mean_by_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,7 +88,7 @@ def array_mean_by_group(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {WORDS_SQL}
         SELECT role, CAST(sum(list_sum(sizes)) AS BIGINT) AS n_chars,
                CAST(sum(len(sizes)) AS BIGINT) AS n_words,
-               round(sum(list_sum(sizes)) / sum(len(sizes)), 4) AS mean_word
+               {rounded_sql("sum(list_sum(sizes)) / sum(len(sizes))", 4)} AS mean_word
         FROM words GROUP BY role""",
 )
 def array_mean_pooled(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,4 @@
-from fieldmill.streaming.files import run_available, stream_json, stream_parquet
+from fieldmill.streaming.files import run_available, start_available, stream_json, stream_parquet
 from fieldmill.streaming.medallion import (
     gold,
     in_view_flag,
@@ -14,6 +14,7 @@ __all__ = [
     "silver_device",
     "silver_imp",
     "silver_site",
+    "start_available",
     "stream_json",
     "stream_parquet",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
@@ -20,12 +21,10 @@ def stream_json(
     A stream needs a schema; ``read_json(...).schema`` infers one from files that exist. Options
     such as ``maxBytesPerTrigger`` bound the size of one micro-batch.
     """
-    return (
-        spark.readStream.schema(schema)
-        .option("multiLine", multi_line)
-        .options(**options)
-        .json(folder)
-    )
+    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
+    if multi_line:
+        reader = reader.option("encoding", "UTF-8")
+    return reader.options(**options).json(folder)
 
 
 def stream_parquet(spark: SparkSession, folder: str, **options: str) -> DataFrame:
@@ -34,13 +33,13 @@ def stream_parquet(spark: SparkSession, folder: str, **options: str) -> DataFram
     return spark.readStream.schema(schema).options(**options).parquet(folder)
 
 
-def run_available(
+def start_available(
     df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
-) -> DataFrame:
-    """Append everything the stream has not processed yet to ``path`` and return the stored table.
+) -> StreamingQuery:
+    """Start appending everything the stream has not processed yet to ``path``, then end.
 
-    Progress is kept in ``checkpoint``: a later call with the same folders takes only new files, and
-    a call after a failure resumes without repeating rows.
+    Progress is kept in ``checkpoint``: a later start with the same folders takes only new files, and
+    a start after a failure resumes without repeating rows.
     """
     writer = (
         df.writeStream.format("parquet")
@@ -50,5 +49,12 @@ def run_available(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.start(path).awaitTermination()
+    return writer.start(path)
+
+
+def run_available(
+    df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`start_available`, wait for the end, and return the stored table."""
+    start_available(df, path, checkpoint, partition_by).awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(path)
