@@ -63,21 +63,28 @@ SILVER_STEPS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def update_silver(
-    spark: SparkSession, tables: BidTables, stages: Sequence[str] = tuple(SILVER_STEPS)
+    spark: SparkSession,
+    tables: BidTables,
+    stages: Sequence[str] = tuple(SILVER_STEPS),
+    schema: StructType | str = BID_SCHEMA,
 ) -> dict[str, DataFrame]:
     """Run silver steps over the bronze rows they have not seen, side by side, and wait for all."""
-    new_bids = stream_parquet(spark, tables.table("bronze"))
-    silver = {stage: SILVER_STEPS[stage](new_bids) for stage in stages}
+    new_bids = stream_parquet(spark, tables.table("bronze"), schema)
     running = [
-        start_available(table, tables.table(stage), tables.checkpoint(stage))
-        for stage, table in silver.items()
+        start_available(SILVER_STEPS[stage](new_bids), tables.table(stage), tables.checkpoint(stage))
+        for stage in stages
     ]
     for stream in running:
         stream.awaitTermination()
-    return {
-        stage: spark.read.schema(table.schema).parquet(tables.table(stage))
-        for stage, table in silver.items()
-    }
+    return {stage: read_silver(spark, tables, stage, schema) for stage in stages}
+
+
+def read_silver(
+    spark: SparkSession, tables: BidTables, stage: str, schema: StructType | str = BID_SCHEMA
+) -> DataFrame:
+    """A stored silver table; it may still be without rows."""
+    columns = SILVER_STEPS[stage](spark.createDataFrame([], schema)).schema
+    return spark.read.schema(columns).parquet(tables.table(stage))
 
 
 def build_gold(
@@ -85,11 +92,10 @@ def build_gold(
     tables: BidTables,
     in_view: Column | None = None,
     only_valid_consent: bool = False,
+    schema: StructType | str = BID_SCHEMA,
 ) -> DataFrame:
     """Recompute gold from the stored silver tables, optionally with the consent gate."""
-    device, imp, site = (
-        spark.read.parquet(tables.table(stage)) for stage in ("device", "imp", "site")
-    )
+    device, imp, site = (read_silver(spark, tables, stage, schema) for stage in SILVER_STEPS)
     bids = gold(device, imp, site, in_view)
     if only_valid_consent:
         bids = expect_or_drop(bids, "valid_gdpr_status", VALID_CONSENT)

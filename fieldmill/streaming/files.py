@@ -27,9 +27,15 @@ def stream_json(
     return reader.options(**options).json(folder)
 
 
-def stream_parquet(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """Stream a table that another stream wrote to ``folder``, with the schema stored there."""
-    schema = spark.read.parquet(folder).schema
+def stream_parquet(
+    spark: SparkSession, folder: str, schema: StructType | str | None = None, **options: str
+) -> DataFrame:
+    """Stream a table that another stream wrote to ``folder``.
+
+    Without a schema the one of the stored files is taken; an empty table has none.
+    """
+    if schema is None:
+        schema = spark.read.parquet(folder).schema
     return spark.readStream.schema(schema).options(**options).parquet(folder)
 
 
