@@ -124,4 +124,5 @@ def test_in_view_flag(spark):
     assert abs(share - 0.6) < 0.02
     again = flags.repartition(7).orderBy("id")
     assert frame_difference(flags, again).count() == 0
-    assert abs(spark.range(20_000).agg(F.avg(in_view_flag(seed=3))).first()[0] - 0.6) < 0.02
+    drawn = spark.range(20_000).select(in_view_flag(seed=3).alias("f"))
+    assert abs(drawn.agg(F.avg("f")).first()[0] - 0.6) < 0.02
