@@ -49,9 +49,13 @@ def update_bronze(
     tables: BidTables,
     schema: StructType | str = BID_SCHEMA,
     multi_line: bool = True,
+    **options: str,
 ) -> DataFrame:
-    """Append the bids of new files in ``incoming`` as they are."""
-    raw = stream_json(spark, incoming, schema, multi_line=multi_line)
+    """Append the bids of new files in ``incoming`` as they are.
+
+    ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` cut a large backlog into several micro-batches.
+    """
+    raw = stream_json(spark, incoming, schema, multi_line=multi_line, **options)
     return run_available(raw, tables.table("bronze"), tables.checkpoint("bronze"))
 
 
@@ -67,9 +71,10 @@ def update_silver(
     tables: BidTables,
     stages: Sequence[str] = tuple(SILVER_STEPS),
     schema: StructType | str = BID_SCHEMA,
+    **options: str,
 ) -> dict[str, DataFrame]:
     """Run silver steps over the bronze rows they have not seen, side by side, and wait for all."""
-    new_bids = stream_parquet(spark, tables.table("bronze"), schema)
+    new_bids = stream_parquet(spark, tables.table("bronze"), schema, **options)
     running = [
         start_available(SILVER_STEPS[stage](new_bids), tables.table(stage), tables.checkpoint(stage))
         for stage in stages

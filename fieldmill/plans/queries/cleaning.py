@@ -68,11 +68,14 @@ def na_to_null_counts(spark: SparkSession, folder: str) -> DataFrame:
     def counted(measure: str, rows: DataFrame) -> DataFrame:
         return rows.agg(F.count("*").alias("n")).select(F.lit(measure).alias("measure"), "n")
 
+    nulls = lines.agg(
+        F.count(F.when(F.isnull("flag"), 1)).alias("null flags"),
+        F.count(F.when(F.isnull("status"), 1)).alias("null statuses"),
+    )
     return (
         counted("complete rows", lines.na.drop())
         .union(counted("rows with flag", lines.na.drop(subset=["flag"])))
-        .union(counted("null flags", lines.where(F.isnull("flag"))))
-        .union(counted("null statuses", lines.where(F.isnull("status"))))
+        .union(nulls.unpivot([], ["null flags", "null statuses"], "measure", "n"))
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldmill.plans import flights
 from fieldmill.plans.registry import query, rounded_sql
 from fieldmill.plans.rehost import FLIGHT_FIELDS, flight_files, select_list
+from fieldmill.sources import stored
 
 
 def _number(name: str) -> str:
@@ -98,5 +99,7 @@ def flights_timing(spark: SparkSession, folder: str) -> DataFrame:
         WINDOW w AS (PARTITION BY date, origcity)""",
 )
 def flights_departure_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = flights.departure_stats(prepared_flights(spark, folder))
+    """The statistics read the prepared flights twice, so these are stored first."""
+    prepared = stored(prepared_flights(spark, folder), "prepared")
+    stats = flights.departure_stats(prepared)
     return stats.withColumn("date", F.col("date").cast("string"))

@@ -1,6 +1,6 @@
 from fieldmill.sources.delimited import read_delimited, read_with_borrowed_header
 from fieldmill.sources.documents import json_view, read_json, write_documents
-from fieldmill.sources.shared import new_shared_folder
+from fieldmill.sources.shared import new_shared_folder, stored
 from fieldmill.sources.tables import drop_table, load_table, replace_table
 
 __all__ = [
@@ -12,5 +12,6 @@ __all__ = [
     "read_json",
     "read_with_borrowed_header",
     "replace_table",
+    "stored",
     "write_documents",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_shared_folder(spark: SparkSession, label: str) -> str:
@@ -27,3 +27,14 @@ def new_shared_folder(spark: SparkSession, label: str) -> str:
     filesystem.mkdirs(path)
     filesystem.deleteOnExit(path)
     return folder
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a new shared folder and return the written table.
+
+    For a prepared table that several steps read: text is parsed and joined once, the later reads are
+    columnar and pruned, and they survive the loss of an executor.
+    """
+    path = f"{new_shared_folder(df.sparkSession, label)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
