@@ -58,7 +58,7 @@ def csv_roundtrip_typed(spark: SparkSession, folder: str) -> DataFrame:
     orders = orders_as_text(spark, folder)
     final = F.col("o_orderstatus") == "F"
     orders.where(final).write.csv(f"{out}/final", header=True, sep=";")
-    orders.where(~final).write.csv(f"{out}/open", header=True, sep=";")
+    orders.where(~F.coalesce(final, F.lit(False))).write.csv(f"{out}/open", header=True, sep=";")
     return (
         read_delimited(spark, [f"{out}/final", f"{out}/open"], sep=";")
         .transform(na_to_null)
@@ -88,7 +88,7 @@ def headerless_union(spark: SparkSession, folder: str) -> DataFrame:
     orders = orders_as_text(spark, folder)
     first = F.col("o_orderdate") < "1996"
     orders.where(first).write.csv(f"{out}/first", header=True)
-    orders.where(~first).write.csv(f"{out}/rest")
+    orders.where(~F.coalesce(first, F.lit(False))).write.csv(f"{out}/rest")
     return (
         read_with_borrowed_header(spark, f"{out}/first", f"{out}/rest")
         .transform(na_to_null)
@@ -170,9 +170,11 @@ def filter_and_dedupe_frames(spark: SparkSession, folder: str) -> DataFrame:
        FROM orders WHERE o_orderstatus IN ('O', 'P') GROUP BY 1, 2""",
 )
 def partitioned_write_read(spark: SparkSession, folder: str) -> DataFrame:
-    """An external table laid out by status; the filter prunes its folders."""
+    """An external table laid out by status; it is dropped, its files stay, the filter prunes folders."""
     out = f"{new_shared_folder(spark, 'partitioned')}/orders"
-    load_table(spark, folder, "orders").write.partitionBy("o_orderstatus").parquet(out)
+    name = f"fieldmill_orders_{uuid.uuid4().hex}"
+    replace_table(load_table(spark, folder, "orders"), name, ["o_orderstatus"], out)
+    drop_table(spark, name)
     return (
         spark.read.parquet(out)
         .where(F.col("o_orderstatus").isin("O", "P"))

@@ -312,7 +312,7 @@ def rank_parity_except(spark: SparkSession, folder: str) -> DataFrame:
             SELECT *, rank() OVER (PARTITION BY year ORDER BY thousands DESC) AS place,
                    row_number() OVER (PARTITION BY year ORDER BY thousands DESC, o_orderkey) AS one
             FROM yearly)
-        SELECT year, o_orderkey, thousands, 1 AS left_copies, 0 AS right_copies
+        SELECT year, o_orderkey, thousands, CAST(1 AS BIGINT) AS left_copies, CAST(0 AS BIGINT) AS right_copies
         FROM ranked WHERE place = 1 AND one > 1""",
 )
 def rank_difference(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ grouping, so nothing here depends on how often a key occurs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldmill.sources import load_table, new_shared_folder, write_documents
 
@@ -91,12 +92,12 @@ def select_list(fields: dict[str, str], quote: str = '"') -> str:
 def flight_files(spark: SparkSession, folder: str) -> tuple[str, str, str]:
     """Write flights and airports as text: files with a header, files without, airport codes."""
     out = new_shared_folder(spark, "flights")
-    lines = load_table(spark, folder, "lineitem").selectExpr(
-        *[f"{sql} AS `{name}`" for name, sql in FLIGHT_FIELDS.items()]
-    )
+    lines = load_table(spark, folder, "lineitem")
+    fields = [f"{sql} AS `{name}`" for name, sql in FLIGHT_FIELDS.items()]
+    first_year = F.col("l_shipdate") < "1996-01-01"
     options = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    lines.where("Year < 1996").write.csv(f"{out}/first", header=True, **options)
-    lines.where("Year >= 1996").write.csv(f"{out}/rest", **options)
+    lines.where(first_year).selectExpr(*fields).write.csv(f"{out}/first", header=True, **options)
+    lines.where(~F.coalesce(first_year, F.lit(False))).selectExpr(*fields).write.csv(f"{out}/rest", **options)
     load_table(spark, folder, "nation").selectExpr(
         "CASE WHEN n_nationkey % 12 = 5 THEN NULL ELSE 'A' || CAST(n_nationkey AS STRING) END AS `IA TA`",
         "n_name || ' City' AS `City`",
