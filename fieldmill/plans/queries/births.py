@@ -23,8 +23,8 @@ from fieldmill.sources import read_json, stored
 VISITORS_XML = "visitor array<struct<_id: bigint, _age: bigint, _sex: string>>"
 
 POSITIONS_SQL = f"""SELECT sid, id, year, first_name, county, sex, count, county_clean, first_name_clean,
-    strftime(created AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS created_at,
-    strftime(updated AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS updated_at FROM ({BIRTHS_SQL})"""
+    strftime(created, '%Y-%m-%d %H:%M:%S') AS created_at,
+    strftime(updated, '%Y-%m-%d %H:%M:%S') AS updated_at FROM ({BIRTHS_SQL})"""
 
 
 def utc_text(column: str) -> Column:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmill.functions import is_later, majority_label, timing_label, timing_label_udf
+from fieldmill.functions import is_later, timing_label, timing_label_udf
 from fieldmill.operators import (
     distinct_counts,
     distinct_value_sets,

@@ -134,8 +134,8 @@ BIRTHS_SQL = """
            CASE WHEN event_id % 13 <> 12 THEN
                CASE WHEN event_id % 2 = 0 THEN 'F' ELSE 'M' END END AS sex,
            CASE WHEN event_id % 13 <> 12 THEN CAST(event_id % 40 AS INTEGER) END AS count,
-           CASE WHEN event_id % 13 <> 12 THEN to_timestamp(1500000000 + event_id * 60) END AS created,
-           CASE WHEN event_id % 13 <> 12 THEN to_timestamp(1500000030 + event_id * 60) END AS updated,
+           CASE WHEN event_id % 13 <> 12 THEN make_timestamp((1500000000 + event_id * 60) * 1000000) END AS created,
+           CASE WHEN event_id % 13 <> 12 THEN make_timestamp((1500000030 + event_id * 60) * 1000000) END AS updated,
            CASE WHEN event_id % 13 <> 12 THEN
                CASE WHEN user_id % 3 = 0 THEN 'kings' ELSE 'stlawsco' END END AS county_clean,
            CASE WHEN event_id % 13 <> 12 THEN
