@@ -46,12 +46,17 @@ def positions_to_columns(
     return df.select(*[quoted(name) for name in df.columns if name != column], *slots)
 
 
-def array_to_columns(df: DataFrame, column: str, prefix: str, n: int | None = None) -> DataFrame:
+def array_to_columns(
+    df: DataFrame, column: str, prefix: str, n: int | None = None, most: int = 2_000
+) -> DataFrame:
     """Add ``prefix0 … prefix{n-1}`` from an array column given by name or path (``visits.age``).
 
     Without ``n`` the longest array in the data decides, found by one job that returns one number.
+    When that is more than ``most``, the table would be too wide to plan and an error is raised.
     """
     values = F.col(column)
     if n is None:
         n = df.agg(F.max(element_count(values))).first()[0] or 0
+        if n > most:
+            raise ValueError(f"the longest array has {n} elements; explode it, or give n")
     return df.select("*", *[F.get(values, F.lit(i)).alias(f"{prefix}{i}") for i in range(n)])

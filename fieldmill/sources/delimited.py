@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # Where the expected format differs from Spark's own CSV defaults.
-# (Empty text is null, NaN / Inf / -Inf, 2,048 columns and permissive mode are the defaults already.)
+# (Empty text as null, NaN / Inf / -Inf, kept blanks and permissive mode are the defaults already.)
 DIALECT = {
     "escape": '"',
+    "maxColumns": "2048",
     "dateFormat": "yyyy-MM-dd",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
 }

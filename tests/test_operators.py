@@ -124,6 +124,8 @@ def test_array_to_columns_finds_the_longest_array(spark):
     assert op.array_to_columns(frame, "v", "age", n=1).columns == ["k", "v", "age0"]
     empty = op.array_to_columns(frame.where("k > 9"), "v", "age")
     assert empty.columns == ["k", "v"]
+    with pytest.raises(ValueError, match="3 elements"):
+        op.array_to_columns(frame, "v", "age", most=2)
 
 
 # ---------------------------------------------------------------- joins

@@ -104,3 +104,16 @@ def test_no_query_runs_python_per_row_or_a_cross_join(spark):
 def test_means_are_grouped_partially_before_the_shuffle(spark, no_broadcast):
     plan = plan_of(shipments(spark, FOLDER).groupBy("l_suppkey").agg(F.avg("delay")))
     assert plan.count("partial_avg") >= 1 and plan.count("SortMergeJoin Inner") >= 1
+
+
+def test_gold_shuffles_each_silver_table_once(spark, no_broadcast):
+    plan = plan_of(queries()["gold_bids"](spark, FOLDER))
+    assert plan.count("SortMergeJoin LeftOuter") >= 2
+    assert len(re.findall(r"\) Exchange\n", plan)) == 3
+
+
+def test_line_items_are_shuffled_once_for_the_nation_lookup(spark, no_broadcast):
+    plan = plan_of(queries()["dual_role_lookup"](spark, FOLDER))
+    assert plan.count("hashpartitioning(l_orderkey") == 1
+    # Suppliers meet counts, not line items.
+    assert re.search(r"HashAggregate\(keys=\[c_nationkey|Keys \[2\]: \[c_nationkey#\d+, l_suppkey", plan)

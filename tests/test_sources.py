@@ -145,3 +145,22 @@ def test_replace_table_external_and_partitioned(spark, folder):
     assert pruned.count() == 2
     src.drop_table(spark, "carriers")
     assert spark.read.parquet(out).count() == 3
+
+
+def test_stored_keeps_schema_and_rows(spark, sorted_rows):
+    frame = spark.createDataFrame([(1, [2, 3]), (None, None)], "a int, b array<int>")
+    kept = src.stored(frame, "kept")
+    assert kept.schema == frame.schema
+    assert sorted_rows(kept) == sorted_rows(frame)
+    assert src.stored(frame.where("a > 5"), "kept").count() == 0
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        src.new_shared_folder(cluster, "x")

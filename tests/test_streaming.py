@@ -1,15 +1,25 @@
 from __future__ import annotations
 
 import json
+import os
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fieldmill.operators import frame_difference
 from fieldmill.plans import bids
 from fieldmill.sources import new_shared_folder, read_json
-from fieldmill.streaming import gold, in_view_flag, silver_device, silver_imp, silver_site
+from fieldmill.streaming import (
+    gold,
+    in_view_flag,
+    run_available,
+    silver_device,
+    silver_imp,
+    silver_site,
+    stream_json,
+)
 
 
 def bid(number, imps, status=1, os="ios"):
@@ -117,6 +127,44 @@ def test_line_files_stream_too(spark, stage):
     assert bids.update_bronze(spark, str(incoming), tables, multi_line=False).count() == 3
 
 
+def test_a_backlog_is_cut_into_batches(spark, stage):
+    incoming, tables = stage
+    for i in range(3):
+        drop_file(incoming, f"{i}.json", [bid(10 * i + k, 1) for k in range(2)])
+    bronze = bids.update_bronze(spark, str(incoming), tables, maxFilesPerTrigger="1")
+    assert bronze.count() == 6
+    batches = list((Path(tables.checkpoint("bronze")) / "commits").glob("[0-9]*"))
+    assert len(batches) == 3
+
+
+def test_a_failed_run_resumes_without_repeats(spark, stage):
+    incoming, tables = stage
+    for i in range(4):
+        drop_file(incoming, f"{i}.json", [bid(i, 1)])
+        os.utime(incoming / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = stream_json(spark, str(incoming), bids.BID_SCHEMA, True, maxFilesPerTrigger="1")
+    failing = stream.withColumn(
+        "id", F.when(F.col("id") == "b2", F.raise_error(F.lit("lost"))).otherwise(F.col("id"))
+    )
+    table, progress = tables.table("bronze"), tables.checkpoint("bronze")
+    with pytest.raises(StreamingQueryException):
+        run_available(failing, table, progress)
+    assert {r["id"] for r in spark.read.parquet(table).collect()} == {"b0", "b1"}
+    run_available(stream, table, progress)
+    assert sorted(r["id"] for r in spark.read.parquet(table).collect()) == ["b0", "b1", "b2", "b3"]
+
+
+def test_sink_partitions(spark, stage):
+    incoming, tables = stage
+    drop_file(incoming, "one.json", FIRST)
+    stream = stream_json(spark, str(incoming), bids.BID_SCHEMA, True)
+    rows = run_available(
+        stream.selectExpr("id", "device.os AS os"), tables.table("t"), tables.checkpoint("t"), ["os"]
+    )
+    assert rows.count() == 3
+    assert [p.name for p in Path(tables.table("t")).glob("os=*")] == ["os=ios"]
+
+
 def test_in_view_flag(spark):
     flags = spark.range(20_000).select("id", in_view_flag(F.col("id"), seed=3).alias("f"))
     assert {r[0] for r in flags.select("f").distinct().collect()} == {0.0, 1.0}
