@@ -16,7 +16,7 @@ from fieldmill.functions import (
     parse_xml,
 )
 from fieldmill.operators import mode_per_group, positions_to_columns, top_k, top_per_group
-from fieldmill.sources import json_view
+from fieldmill.sources import json_view, stored
 
 # The slots of one birth record.
 BIRTH_FIELDS = (
@@ -63,10 +63,19 @@ def explode_births(documents: DataFrame) -> DataFrame:
     )
 
 
-def publish_births(spark: SparkSession, path: str, view: str = "birth_records") -> None:
-    """Declare the document file in SQL, explode it and publish the table under ``view``."""
+def publish_births(
+    spark: SparkSession, path: str, view: str = "birth_records", store: bool = False
+) -> None:
+    """Declare the document file in SQL, explode it and publish the table under ``view``.
+
+    With ``store`` the records are written once, so that questions to the view do not parse the
+    documents again.
+    """
     json_view(spark, f"{view}_raw", path, multi_line=True)
-    explode_births(spark.sql(f"SELECT * FROM `{view}_raw`")).createOrReplaceTempView(view)
+    records = explode_births(spark.sql(f"SELECT * FROM `{view}_raw`"))
+    if store:
+        records = stored(records, view)
+    records.createOrReplaceTempView(view)
 
 
 def top_names_sql(spark: SparkSession, view: str = "birth_records") -> DataFrame:

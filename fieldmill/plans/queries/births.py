@@ -66,7 +66,7 @@ TOP_NAMES_SQL = f"""SELECT first_name_clean, count, year FROM ({BIRTHS_SQL})
 @query("top_names_by_year_sql", TOP_NAMES_SQL)
 def top_names_by_year_sql(spark: SparkSession, folder: str) -> DataFrame:
     view = f"birth_records_{uuid.uuid4().hex}"
-    births.publish_births(spark, birth_documents(spark, folder), view)
+    births.publish_births(spark, birth_documents(spark, folder), view, store=True)
     return births.top_names_sql(spark, view)
 
 

@@ -8,13 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made_here: list[str] = []
+
+
+def _filesystem(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def new_shared_folder(spark: SparkSession, label: str) -> str:
     """A new, empty path under the folder named by ``spark.checkpoint.dir``.
 
     Intermediate files (text round-trips, stream sinks, stream checkpoints) go there, so that they
     outlive the executor that wrote them. Only a local session without that setting gets a
     temporary folder of its own; a cluster session without it is refused, since a machine-local
-    folder would be visible to one host only. The path is removed when the driver JVM ends.
+    folder would be visible to one host only. The path is removed when the driver JVM ends, or
+    earlier by :func:`remove_shared_folders`.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -22,13 +31,25 @@ def new_shared_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.gettempdir()
     folder = f"{root.rstrip('/')}/fieldmill-{label}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    filesystem = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path, filesystem = _filesystem(spark, folder)
     filesystem.mkdirs(path)
     filesystem.deleteOnExit(path)
+    _made_here.append(folder)
     return folder
 
 
+def remove_shared_folders(spark: SparkSession) -> int:
+    """Remove the folders this process has made so far and return how many there were.
+
+    For long-lived drivers, once no result that reads them is needed any more.
+    """
+    removed = len(_made_here)
+    while _made_here:
+        path, filesystem = _filesystem(spark, _made_here.pop())
+        filesystem.delete(path, True)
+    return removed
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new shared folder and return the written table.
 

@@ -164,3 +164,16 @@ def test_cluster_without_a_shared_folder_is_refused():
     )
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         src.new_shared_folder(cluster, "x")
+
+
+def test_shared_folders_can_be_removed(spark, monkeypatch):
+    from pathlib import Path
+
+    from fieldmill.sources import shared
+
+    monkeypatch.setattr(shared, "_made_here", [])
+    made = [src.new_shared_folder(spark, "gone") for _ in range(2)]
+    assert all(Path(folder).is_dir() for folder in made)
+    assert src.remove_shared_folders(spark) == 2
+    assert not any(Path(folder).exists() for folder in made)
+    assert src.remove_shared_folders(spark) == 0
