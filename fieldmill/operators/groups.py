@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmill.functions.text import quoted
+from fieldmill.sources.shared import stored
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -53,24 +54,39 @@ def distinct_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _join_groups(
+    df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column], *conditions: Column
+) -> DataFrame:
+    """Aggregate per group and join the result back to the rows of the group; null keys match.
+
+    The aggregate is stored first. So Spark knows its true size when it plans the join: few groups
+    are broadcast and the rows of ``df`` stay where they are; for many groups the join is shuffled, and
+    adaptive execution may split a heavy key. Planned in one piece, the size would be unknown and
+    the rows would be shuffled in either case.
+    """
+    names = {key: f"__{key}" for key in keys}
+    grouped = df.groupBy(*[F.col(quoted(key)).alias(name) for key, name in names.items()])
+    groups = stored(grouped.agg(*aggregates), "groups")
+    on = [F.col(quoted(key)).eqNullSafe(F.col(quoted(name))) for key, name in names.items()]
+    return df.join(groups, [*on, *conditions]).drop(*names.values())
+
+
 def group_stats(
     df: DataFrame, keys: Sequence[str], value: str, prefix: str, decimals: int = 2
 ) -> DataFrame:
     """Add min, max, mean and sum of ``value`` over each row's group to every row.
 
-    What a window over the whole group would give, computed as a grouped aggregate joined back: no
-    task has to hold or sort a group. The aggregate is broadcast when Spark finds it small, else the
-    join is shuffled and adaptive execution may split heavy keys. Null keys form a group. The input
-    is read twice, so it must be deterministic.
+    What a window over the whole group would give, computed as a grouped aggregate joined back, so
+    that no task has to hold or sort a group. Null keys form a group. Runs the aggregation as a job;
+    the input is read twice and must be deterministic.
     """
-    stats = df.groupBy(*[F.col(quoted(key)).alias(f"__{key}") for key in keys]).agg(
+    stats = [
         F.min(quoted(value)).alias(f"{prefix}min"),
         F.max(quoted(value)).alias(f"{prefix}max"),
         F.round(F.avg(quoted(value)), decimals).alias(f"{prefix}avg"),
         F.sum(quoted(value)).alias(f"{prefix}sum"),
-    )
-    on = [F.col(quoted(key)).eqNullSafe(F.col(quoted(f"__{key}"))) for key in keys]
-    return df.join(stats, on).drop(*[f"__{key}" for key in keys])
+    ]
+    return _join_groups(df, keys, stats)
 
 
 def top_per_group(
@@ -84,8 +100,8 @@ def top_per_group(
     """The first row of each group by ``order``, nulls last.
 
     ``ties="all"`` keeps every row that shares the first place, as ``rank() = 1`` would. The best
-    value per group is aggregated and joined back, so that a first place shared by very many rows is
-    not gathered in one task; the input is read twice and must be deterministic.
+    value per group is aggregated by a job and joined back, so that a first place shared by very many
+    rows is not gathered in one task; the input is read twice and must be deterministic.
 
     ``ties="one"`` keeps one row, as ``row_number() = 1`` would, and needs a ``tiebreak``, so that the
     choice does not depend on the row order. Each task keeps only its own leader of a group before
@@ -93,12 +109,8 @@ def top_per_group(
     """
     value = F.col(quoted(order))
     if ties == "all":
-        best = df.groupBy(*[F.col(quoted(key)).alias(f"__{key}") for key in keys]).agg(
-            (F.max(value) if descending else F.min(value)).alias("__best")
-        )
-        on = [F.col(quoted(key)).eqNullSafe(F.col(quoted(f"__{key}"))) for key in keys]
-        on.append(value.eqNullSafe(F.col("__best")))
-        return df.join(best, on).drop("__best", *[f"__{key}" for key in keys])
+        best = (F.max(value) if descending else F.min(value)).alias("__best")
+        return _join_groups(df, keys, [best], value.eqNullSafe(F.col("__best"))).drop("__best")
     if ties != "one":
         raise ValueError("ties must be 'all' or 'one'")
     if not tiebreak:

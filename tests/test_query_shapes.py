@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from fieldmill.operators import lookup_roles, mode_per_group, top_per_group
+from fieldmill.operators import group_stats, lookup_roles, mode_per_group, top_per_group
 from fieldmill.plans.queries.grouping import shipments
 from fieldmill.sources import load_table
 
@@ -117,3 +117,17 @@ def test_line_items_are_shuffled_once_for_the_nation_lookup(spark, no_broadcast)
     assert plan.count("hashpartitioning(l_orderkey") == 1
     # Suppliers meet counts, not line items.
     assert re.search(r"HashAggregate\(keys=\[c_nationkey|Keys \[2\]: \[c_nationkey#\d+, l_suppkey", plan)
+
+
+def test_few_groups_are_broadcast_and_the_rows_stay(spark):
+    lines = load_table(spark, FOLDER, "lineitem").select("l_returnflag", "l_quantity", "l_orderkey")
+    wide = lines.unionByName(lines)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    for frame in (
+        group_stats(wide, ["l_returnflag"], "l_quantity", "q"),
+        top_per_group(wide, ["l_returnflag"], "l_quantity"),
+    ):
+        plan = plan_of(frame)
+        assert "BroadcastHashJoin Inner BuildRight" in plan
+        assert not re.search(r"\) Exchange\n", plan)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
