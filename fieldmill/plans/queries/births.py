@@ -72,8 +72,9 @@ def top_names_by_year_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("top_names_by_year", TOP_NAMES_SQL)
 def top_names_by_year(spark: SparkSession, folder: str) -> DataFrame:
-    """Finding the best and finding its holders are two reads, so the records are stored first."""
-    return births.top_names(stored(birth_records(spark, folder), "records"))
+    """Finding the best and finding its holders are two reads, so the names are stored first."""
+    names = birth_records(spark, folder).select("first_name_clean", "count", "year")
+    return births.top_names(stored(names, "names"))
 
 
 @query(
