@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmill.llm import decontaminate
+from fieldmill.llm import decontaminate, minhash, substrings
 from fieldmill.llm.shipping import ship
 
 QUERIES: dict = {}
@@ -45,3 +45,28 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sha256(F.col("items")).alias("items_sha256"),
         "contaminated",
     )
+
+
+@_query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words, how many lie in windows that a smaller id also has, and a digest of the rest."""
+    docs = _table(spark, sf_dir, "documents")
+    spans, texts = substrings.repeated_spans(docs)
+    digest = F.sha2(F.col("kept").cast("binary"), 256)
+    cut = substrings.kept_texts(spans, texts).select("uid", "n_removed", digest.alias("cut_sha256"))
+    whole = substrings.whole_texts(docs).select("doc", "uid", "n_words", digest.alias("whole_sha256"))
+    return whole.join(cut, "uid", "left").select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
+    )
+
+
+@_query
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its class of near-duplicate texts and whether it is the one that stays."""
+    classes = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return classes.select(
+        F.col("doc").alias("doc_id"), "class_id", F.col("doc").eqNullSafe(F.col("class_id")).alias("kept")
+    )
