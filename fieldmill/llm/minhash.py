@@ -11,8 +11,8 @@ its weight falls with the logarithm of its frequency to one half where every tex
 less, and a large group of near copies still counts as similar.
 
 Equal texts are one node from the start. Within a band's bucket nothing is paired all against all: every member
-is compared with the bucket's first text, those unlike it form the bucket's rest, and again. After ``STAR_ROUNDS``
-rounds the small rests are compared pair by pair, without a cap.
+is compared with the bucket's hub, those unlike it with the hub of the rest, and what stays open after ``STAR_ROUNDS``
+rounds only with texts it could be similar to at all (see :func:`linked_nodes`).
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmill.llm.components import components
+from fieldmill.llm.storage import step
 from fieldmill.llm.words import ALPHANUMERIC, LOWER, find_words, mix, text_slices
-from fieldmill.sources.shared import stored
 
 SHINGLE, SIMILAR = 5, 0.8
 HASHES, ROWS = 64, 4
@@ -152,39 +152,104 @@ def _sketch(batches: Iterator[pa.RecordBatch], shipped, size: int) -> Iterator[p
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), bands], ["doc", "node", "bands"])
 
 
-def _similarities(batches: Iterator[pa.RecordBatch], shipped, size: int) -> Iterator[pa.RecordBatch]:
-    """Exact weighted Jaccard similarity of each row's two texts."""
+def _keyed_weights(column: pa.Array, table: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row and shingle in one key, weight) of a column's shingles, in the order of the keys."""
+    keys, values = [np.empty(0, np.uint64)], [np.empty(0)]
+    for first, _, data, offsets in text_slices(column):
+        row, shingles, counts = weighted_shingles(data, offsets, size)
+        keys.append(((row + first).astype(np.uint64) << np.uint64(_HASH_BITS)) | shingles)
+        values.append(counts * table[_table_place(shingles)].astype(np.float64))
+    return np.concatenate(keys), np.concatenate(values)
+
+
+def _outside(shingles: np.ndarray, weights: np.ndarray, table: np.ndarray, droppable: float) -> np.ndarray:
+    """The shingles without the most frequent ones that together weigh under ``droppable``.
+
+    All texts drop in the same order, so the rarest shingle that two texts share is kept by both.
+    """
+    order = np.lexsort((shingles, table[_table_place(shingles)]))
+    keep = np.cumsum(weights[order]) >= droppable if droppable > 0 else np.ones(len(order), bool)
+    return shingles[order][keep].astype(np.int64)
+
+
+def _compare(batches: Iterator[pa.RecordBatch], shipped, size: int, similar: float) -> Iterator[pa.RecordBatch]:
+    """Compares text a with text b of each row exactly.
+
+    ``linked``; the ``weight`` of a and the share of it that lies ``inside`` b; and of the shingles of a outside b those
+    by which any third text similar to a can be found that doesn't owe it to what a shares with b (see
+    :func:`linked_nodes`).
+    """
     table = shipped.value
     for batch in batches:
-        step = max(1, batch.num_rows * (1 << 20) // max(1, batch.nbytes))
-        for low in range(0, batch.num_rows, step):
-            part = batch.slice(low, step)
-            sums, sides = [], []
-            for side in (2, 3):
-                keys, values = [], []
-                for first, _, data, offsets in text_slices(part.column(side)):
-                    row, shingles, counts = weighted_shingles(data, offsets, size)
-                    keys.append(((row + first).astype(np.uint64) << np.uint64(_HASH_BITS)) | shingles)
-                    values.append(counts * table[_table_place(shingles)].astype(np.float64))
-                keys, values = np.concatenate(keys), np.concatenate(values)
-                sides.append((keys, values))
-                sums.append(np.bincount((keys >> np.uint64(_HASH_BITS)).astype(np.int64), values, part.num_rows))
-            both, a, b = np.intersect1d(sides[0][0], sides[1][0], assume_unique=True, return_indices=True)
-            shared = np.minimum(sides[0][1][a], sides[1][1][b])
-            common = np.bincount((both >> np.uint64(_HASH_BITS)).astype(np.int64), shared, part.num_rows)
-            whole = sums[0] + sums[1] - common
-            similarity = np.where(whole > 0, common / np.maximum(whole, 1e-300), 0.0)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(similarity)], ["a", "b", "similarity"])
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, shipped, size: int, similar: float) -> DataFrame:
-    """``(a, b, linked)`` for pairs of nodes."""
+        step_rows = max(1, batch.num_rows * (1 << 20) // max(1, batch.nbytes))
+        for low in range(0, batch.num_rows, step_rows):
+            part = batch.slice(low, step_rows)
+            n = part.num_rows
+            keys_a, weight_a = _keyed_weights(part.column(2), table, size)
+            keys_b, weight_b = _keyed_weights(part.column(3), table, size)
+            row_a = (keys_a >> np.uint64(_HASH_BITS)).astype(np.int64)
+            row_b = (keys_b >> np.uint64(_HASH_BITS)).astype(np.int64)
+            whole_a, whole_b = np.bincount(row_a, weight_a, n), np.bincount(row_b, weight_b, n)
+            _, at_a, at_b = np.intersect1d(keys_a, keys_b, assume_unique=True, return_indices=True)
+            shared = np.zeros(len(keys_a))
+            shared[at_a] = np.minimum(weight_a[at_a], weight_b[at_b])
+            common = np.bincount(row_a, shared, n)
+            linked = (common > 0) & (common >= similar * (whole_a + whole_b - common))
+            left = weight_a - shared
+            first = np.searchsorted(row_a, np.arange(n + 1))
+            outside = []
+            for r in range(n):
+                own = slice(first[r], first[r + 1])
+                out = left[own] > 0
+                outside.append(_outside(keys_a[own][out] & _LOW, left[own][out], table, similar * whole_a[r] - common[r]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    part.column(1),
+                    pa.array(linked),
+                    pa.array(whole_a),
+                    pa.array(common / np.maximum(whole_a, 1e-300)),
+                    pa.array(outside, pa.list_(pa.int64())),
+                ],
+                ["a", "b", "linked", "weight", "inside", "outside"],
+            )
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, shipped, size: int, similar: float) -> DataFrame:
     own = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     both = own.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    judged = both.select("a", "b", "text_a", "text_b").mapInArrow(
-        lambda batches: _similarities(batches, shipped, size), "a string, b string, similarity double"
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(
+        lambda batches: _compare(batches, shipped, size, similar),
+        "a string, b string, linked boolean, weight double, inside double, outside array<bigint>",
+    )
+
+
+def _third_texts(compared: DataFrame, open_pairs: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) of texts of one hub that may be similar, a being open (unlike its hubs).
+
+    Similar texts x and y share at least ``t (w(x) + w(y))`` of their weights, ``t = similar / (1 + similar)``. What both
+    share with the hub bounds what they can share inside it; so either they share a shingle outside it, or the
+    hub holds enough of both, and then their weights are as the two conditions on weights say.
+    """
+    t = similar / (1 + similar)
+    hubs = open_pairs.select(F.col("hub").alias("b")).distinct()
+    group = compared.join(hubs, "b").select("b", "a", "weight", "inside", "outside")
+    unlike = group.join(open_pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")), ["a", "b"], "left_semi")
+    left = unlike.select("b", F.col("a").alias("x"), F.explode("outside").alias("shingle"))
+    right = group.select("b", F.col("a").alias("y"), F.explode("outside").alias("shingle"))
+    outside = left.join(right, ["b", "shingle"]).filter("x <> y").select("x", "y")
+    x = unlike.filter(F.col("inside") >= similar).select("b", F.col("a").alias("x"), F.col("weight").alias("wx"), F.col("inside").alias("fx"))
+    y = group.filter(F.col("inside") >= similar).select("b", F.col("a").alias("y"), F.col("weight").alias("wy"), F.col("inside").alias("fy"))
+    both = t * (F.col("wx") + F.col("wy"))
+    inside = (
+        x.join(y, "b")
+        .filter("x <> y")
+        .filter((F.col("wy") >= similar * F.col("wx")) & (F.col("wx") >= similar * F.col("wy")))
+        .filter((F.col("fx") * F.col("wx") >= both) & (F.col("fy") * F.col("wy") >= both))
+        .select("x", "y")
     )
-    return judged.select("a", "b", (F.col("similarity") >= similar).alias("linked"))
+    pairs = outside.union(inside)
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def linked_nodes(
@@ -192,27 +257,31 @@ def linked_nodes(
 ) -> DataFrame:
     """Verified links ``(u, v)`` among ``members(band, node)``; ``texts`` has ``(node, text)``.
 
-    Every member is compared with the first node of its bucket, the unlike ones with the first of those, and after
-    ``rounds`` rounds all that is left pair by pair.
+    Every member of a bucket is compared with its hub, the member that meets most others; those unlike it with the hub
+    of the rest, for ``rounds`` rounds. A text that is open then is compared with every text of its first hub that it
+    could be similar to at all: those with which it shares one of a few shingles outside the hub, or that the hub
+    holds as largely as itself. No pair that can link an open text is left out. Two groups that each have a hub are
+    joined where a hub or an open text links them.
     """
-    links = None
-    for k in range(rounds + 1):
-        if k < rounds:
-            hubs = members.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last")
-            met = members.join(hubs.select("band", "hub"), "band").filter("node <> hub")
-        else:
-            met = members.join(members.withColumnRenamed("node", "hub"), "band").filter("node > hub")
+    met_by = members.groupBy("band").agg(F.count("*").alias("n"))
+    degrees = members.join(met_by, "band").groupBy("node").agg(F.sum("n").alias("degree"))
+    rest = step(members.join(degrees, "node").withColumn("first", F.lit("")), "members")
+    links, compared = None, None
+    for k in range(rounds):
+        hubs = rest.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("top"), F.count("*").alias("n")).filter("n > 1")
+        met = rest.join(hubs.select("band", F.col("top.node").alias("hub")), "band").filter("node <> hub")
+        if k == 0:
+            met = met.withColumn("first", F.col("hub"))
         pairs = met.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        judged = stored(_verified(pairs, texts, shipped, size, similar), "pairs")
+        judged = step(_compared(pairs, texts, shipped, size, similar), "pairs")
         own = judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = own if links is None else links.union(own)
-        if k == rounds:
-            break
+        compared = judged if compared is None else compared
         unlike = judged.filter("not linked").select(F.col("a").alias("node"), F.col("b").alias("hub"))
-        members = stored(met.join(unlike, ["node", "hub"]).select("band", "node"), "rest")
-        if members.isEmpty():
-            break
-    return links
+        rest = step(met.join(unlike, ["node", "hub"]).select("band", "node", "degree", "first"), "rest")
+    open_pairs = rest.select("node", F.col("first").alias("hub")).distinct()
+    judged = step(_compared(_third_texts(compared, open_pairs, similar), texts, shipped, size, similar), "open")
+    return links.union(judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 def near_duplicates(
@@ -238,15 +307,15 @@ def near_duplicates(
     sketched = rows.select("doc", F.md5(F.col("text").cast("binary")).alias("node"), "text").mapInArrow(
         lambda batches: _sketch(batches, shipped, size), f"doc {kind}, node string, bands array<bigint>"
     )
-    sketched = stored(sketched, "sketches")
+    sketched = step(sketched, "sketches")
     nodes = sketched.filter("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.min("bands").alias("bands"))
     bands = nodes.select("doc", "node", F.explode("bands").alias("band"))
     full = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    members = stored(bands.join(full, "band"), "members")
+    members = step(bands.join(full, "band"), "members")
     wanted = members.select(F.col("doc").alias("first_doc"), F.col("node").alias("first_node")).distinct()
     by_node = given.withColumn("node", F.md5(F.col("text").cast("binary")))
     texts = by_node.join(wanted, by_node["doc"].eqNullSafe(wanted["first_doc"]) & (by_node["node"] == wanted["first_node"]))
-    texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = step(texts.select("node", "text").dropDuplicates(["node"]), "texts")
     links = linked_nodes(members.select("band", "node"), texts, shipped, size, similar)
     found = components(links)
     classes = nodes.select("node", "doc").join(found, "node").select("node", "doc", "component")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmill.llm import decontaminate, minhash, substrings
+from fieldmill.llm import decontaminate, embeddings, langid, licenses, minhash, packing, pii, substrings, toxicity, urls
 from fieldmill.llm.shipping import ship
 
 QUERIES: dict = {}
@@ -51,15 +53,23 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its words, how many lie in windows that a smaller id also has, and a digest of the rest."""
     docs = _table(spark, sf_dir, "documents")
-    spans, texts = substrings.repeated_spans(docs)
+    spans, texts, copied = substrings.repeated_spans(docs)
     digest = F.sha2(F.col("kept").cast("binary"), 256)
     cut = substrings.kept_texts(spans, texts).select("uid", "n_removed", digest.alias("cut_sha256"))
     whole = substrings.whole_texts(docs).select("doc", "uid", "n_words", digest.alias("whole_sha256"))
-    return whole.join(cut, "uid", "left").select(
-        F.col("doc").alias("doc_id"),
-        "n_words",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
+    copied = copied.select("uid", F.lit(True).alias("copied"))
+    gone = F.col("copied") & (F.col("n_words") >= substrings.WINDOW)
+    return (
+        whole.join(cut, "uid", "left")
+        .join(copied, "uid", "left")
+        .select(
+            F.col("doc").alias("doc_id"),
+            "n_words",
+            F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+            F.when(gone, F.sha2(F.lit("").cast("binary"), 256))
+            .otherwise(F.coalesce("cut_sha256", "whole_sha256"))
+            .alias("kept_sha256"),
+        )
     )
 
 
@@ -70,3 +80,142 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(
         F.col("doc").alias("doc_id"), "class_id", F.col("doc").eqNullSafe(F.col("class_id")).alias("kept")
     )
+
+
+def _remainder(column: str, divisor: int) -> F.Column:
+    return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+@_query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its toxicity score by a lexicon learned from the labels that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").filter(_remainder("doc_id", 5) != 0)
+    model = toxicity.learn(docs, labels)
+    return toxicity.measure(docs, model, ["doc_id"]).select(
+        "doc.doc_id",
+        F.coalesce(_remainder("doc.doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_matches",
+    )
+
+
+@_query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: counts and a digest of its base spans, and all accepted spans."""
+    found = pii.find_spans(_table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for kind in pii.BASE_KINDS
+    ]
+    return found.select(
+        "doc.doc_id",
+        *counts,
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where a public tokenizer's file is on this machine; the workers are told the same path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def _with_crc(batches):
+    for batch in batches:
+        ids = batch.column(5)
+        starts, values = ids.offsets.to_numpy(), ids.values.to_numpy()
+        crc = [zlib.crc32(values[a:b].astype("<u4").tobytes()) for a, b in zip(starts[:-1], starts[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:5], pa.array(crc, pa.int64()), batch.column(6)],
+            ["doc_id", "start", "length", "sequence_id", "offset", "ids_crc32", "doc_tokens"],
+        )
+
+
+@_query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per piece: where it lies in its document and in its sequence, and a checksum of its ids."""
+    docs = _table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, tokenizer_path(), ["doc_id"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return pieces.select(
+        "doc.doc_id", "piece_start", "piece_length", "sequence_id", "sequence_offset", "ids", "doc_tokens"
+    ).mapInArrow(
+        _with_crc,
+        f"doc_id {kind}, start long, length long, sequence_id long, offset long, ids_crc32 long, doc_tokens long",
+    )
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its language by a network trained on the rows that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    net = langid.learn(docs.filter(_remainder("doc_id", 4) != 2).select("text", "lang"))
+    return langid.identify(docs, net, ["doc_id"]).select(
+        "doc.doc_id",
+        F.coalesce(_remainder("doc.doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
+
+
+@_query
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: how many others it links with, its component and whether it is the one that stays."""
+    found = embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+@_query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: host and path of its url, the rule that decided, and the verdict."""
+    judged = urls.judge_urls(_table(spark, sf_dir, "pages"), ["page_id"])
+    return judged.select("doc.page_id", "host", "path", "rule", "verdict")
+
+
+def _url_sql() -> str:
+    """The same verdicts in SQL, every pattern tried on every url."""
+    rest = "CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rules = sorted(urls.HOST_RULES, key=lambda r: -len(r.name))
+    fits = [
+        f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in rules
+    ]
+    named = " ".join(f"WHEN {fit} THEN '{r.name}'" for fit, r in zip(fits, rules))
+    decided = " ".join(f"WHEN {fit} THEN '{r.verdict}'" for fit, r in zip(fits, rules))
+    tried = " OR ".join(f"regexp_matches(url, '{r.pattern}')" for r in urls.PATTERN_RULES)
+    return f"""
+        WITH a AS (SELECT page_id, coalesce(url, '') AS url, {rest} AS rest FROM pages),
+        b AS (
+            SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{upper}', '{upper.lower()}') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM a
+        )
+        SELECT page_id, host, path, CASE {named} END AS rule,
+            CASE {decided} WHEN {tried} THEN 'block' ELSE 'allow' END AS verdict
+        FROM b"""
+
+
+ORACLES["op4_url_filter"] = _url_sql()
+
+
+@_query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the license notices found in it, with covered share and word spans."""
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"), ["doc_id"])
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"].cast("string"), m["end"].cast("string")))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"),
+        F.round(F.array_max(F.transform("matches", lambda m: m["coverage"])), 6).alias("best_coverage"),
+        F.array_join(spans, ",").alias("spans"),
+    )

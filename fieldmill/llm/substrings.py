@@ -1,12 +1,13 @@
 """Long spans of words that repeat across documents, found in a compacted graph of word windows.
 
 Every window of ``window`` words is an edge of a De Bruijn graph (from its first ``window - 1`` words to its
-last). The steps, all of them joins and aggregations over short rows:
+last). The steps, all joins and aggregations over short rows:
 
+0. *Copies.* Of equal texts only the one with the smallest id takes part; the others repeat it whole.
 1. *Candidates.* Equal windows have the same smallest ``seed``-word hash inside. Only runs of windows whose
    seed occurs in two documents can repeat, so only those become edges.
-2. *Edges.* Per edge: its first source coordinate (smallest id, then position) and whether the edges before
-   and after it are the same in all its occurrences.
+2. *Edges.* Per edge: its first source coordinate (smallest id, then position) and whether its neighbours
+   are the same in all its occurrences.
 3. *Compaction.* Within a document, successive repeated edges with the same source and no branch between
    them are one path: one row ``(document, start, length, source, source start)``.
 4. *Verification.* The words at both coordinates of a path are compared by digest; what differs is dropped.
@@ -26,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldmill.llm.storage import step
 from fieldmill.llm.words import UNSPACED, Words, as_signed, find_words, text_slices
-from fieldmill.sources.shared import stored
 
 WINDOW, SEED = 13, 5
+_HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -73,7 +75,7 @@ def _seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterato
 
 
 def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """A row for each candidate window with its hash and those of the windows before and after it."""
+    """A row for each candidate window: its hash, and halves of the hashes of the windows before and after it."""
     for batch in batches:
         runs = batch.column(3)
         run_first, run_values = runs.offsets.to_numpy(), runs.values.to_numpy()
@@ -102,28 +104,32 @@ def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
                     batch.column(1).take(take),
                     as_signed(edge[pick]),
                     pa.array(pick - words.first[row], pa.int64()).cast(pa.int32()),
-                    as_signed(before[pick]),
-                    as_signed(after[pick]),
+                    as_signed((before[pick] & _HIGH) | (after[pick] >> np.uint64(32))),
                 ],
-                ["doc", "uid", "edge", "pos", "before", "after"],
+                ["doc", "uid", "edge", "pos", "around"],
             )
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """SHA-256 of the words of each asked span."""
     for batch in batches:
-        uid, start, n, digest = [], [], [], []
-        for u, text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        row, start, n, digest = [], [], [], []
+        for k, (text, spans) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
             words = (text or "").encode().split()
             for span in spans:
-                uid.append(u)
+                row.append(k)
                 start.append(span["start"])
                 n.append(span["n"])
                 own = b" ".join(words[span["start"] : span["start"] + span["n"]])
                 digest.append(hashlib.sha256(own).digest())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(uid, pa.int64()), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(digest, pa.binary())],
-            ["uid", "start", "n", "digest"],
+            [
+                batch.column(0).take(pa.array(row, pa.int64())),
+                pa.array(start, pa.int32()),
+                pa.array(n, pa.int32()),
+                pa.array(digest, pa.binary()),
+            ],
+            ["key", "start", "n", "digest"],
         )
 
 
@@ -155,8 +161,17 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def candidate_texts(rows: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """``(doc, uid, text, runs)``: texts with windows whose seed occurs in two documents, and where."""
+def copies(rows: DataFrame) -> DataFrame:
+    """``(doc, uid)`` of the texts that equal one with a smaller id."""
+    short = rows.filter(F.col("doc").isNotNull() & F.col("text").isNotNull()).select(
+        "doc", "uid", F.md5(F.col("text").cast("binary")).alias("same")
+    )
+    first = short.groupBy("same").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first <> last")
+    return short.join(first, "same").filter("doc > first").select("doc", "uid").distinct()
+
+
+def candidate_texts(rows: DataFrame, copied: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+    """``(doc, uid, text, runs)``: texts with windows whose seed occurs in two documents, and where; no copies."""
     kind = rows.schema["doc"].dataType.simpleString()
     seeds = (
         rows.filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
@@ -165,40 +180,42 @@ def candidate_texts(rows: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     )
     shared = seeds.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a <> b").select("seed")
     runs = seeds.join(shared, "seed").groupBy("doc").agg(F.collect_list("run").alias("runs"))
-    return rows.join(runs, "doc")
+    return rows.join(runs, "doc").join(copied.select("uid"), "uid", "left_anti").select("doc", "uid", "text", "runs")
 
 
 def repeated_paths(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Paths of repeated windows in ``candidate_texts``: ``(doc, uid, start, n, source, source_uid, source_start)``.
+    """Paths of repeated windows in ``candidate_texts``: ``(doc, uid, start, n, source, source_start)``.
 
     ``start`` and ``n`` count words; the same ``n`` words begin at ``source_start`` of the source, which has a smaller id.
     """
     kind = texts.schema["doc"].dataType.simpleString()
     edges = texts.select("doc", "uid", "text", "runs").mapInArrow(
-        lambda batches: _edges(batches, window),
-        f"doc {kind}, uid long, edge long, pos int, before long, after long",
+        lambda batches: _edges(batches, window), f"doc {kind}, uid long, edge long, pos int, around long"
     )
     known = edges.groupBy("edge").agg(
-        F.min(F.struct("doc", "uid", "pos")).alias("source"),
+        F.min(F.struct("doc", "pos")).alias("source"),
         F.max("doc").alias("last"),
-        (F.min("before") != F.max("before")).alias("joins"),
-        (F.min("after") != F.max("after")).alias("forks"),
+        F.min("around").alias("least"),
+        F.max("around").alias("most"),
+    )
+    known = known.filter(F.col("source.doc") < F.col("last")).select(
+        "edge", "source", (F.col("least") != F.col("most")).alias("branches")
     )
-    known = known.filter(F.col("source.doc") < F.col("last"))
     later = (
         edges.select("doc", "uid", "edge", "pos")
         .join(known, "edge")
         .filter(F.col("source.doc") < F.col("doc"))
+        .select("doc", "uid", "pos", "source", "branches")
         .dropDuplicates(["uid", "pos"])
     )
     order = Window.partitionBy("uid").orderBy("pos")
-    previous = F.lag(F.struct("pos", "source", "forks")).over(order)
+    previous = F.lag(F.struct("pos", "source", "branches")).over(order)
     goes_on = (
         (previous["pos"] == F.col("pos") - 1)
-        & (previous["source"]["uid"] == F.col("source.uid"))
+        & (previous["source"]["doc"] == F.col("source.doc"))
         & (previous["source"]["pos"] == F.col("source.pos") - 1)
-        & ~previous["forks"]
-        & ~F.col("joins")
+        & ~previous["branches"]
+        & ~F.col("branches")
     )
     return (
         later.withColumn("new", F.when(goes_on, 0).otherwise(1))
@@ -211,50 +228,49 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW) -> DataFrame:
             F.min("source").alias("source"),
         )
         .select(
-            "doc",
-            "uid",
-            "start",
-            "n",
-            F.col("source.doc").alias("source"),
-            F.col("source.uid").alias("source_uid"),
-            F.col("source.pos").alias("source_start"),
+            "doc", "uid", "start", "n", F.col("source.doc").alias("source"), F.col("source.pos").alias("source_start")
         )
     )
 
 
 def verified(paths: DataFrame, texts: DataFrame) -> DataFrame:
     """The paths whose words equal those at their source."""
-    places = paths.select("uid", F.struct("start", "n").alias("span")).union(
-        paths.select(F.col("source_uid").alias("uid"), F.struct(F.col("source_start").alias("start"), "n").alias("span"))
+    kind = texts.schema["doc"].dataType.simpleString()
+    places = paths.select("doc", F.struct("start", "n").alias("span")).union(
+        paths.select(F.col("source").alias("doc"), F.struct(F.col("source_start").alias("start"), "n").alias("span"))
     )
-    asked = places.groupBy("uid").agg(F.collect_set("span").alias("spans"))
-    one_each = texts.select("uid", "text").join(asked, "uid").dropDuplicates(["uid"])
-    digests = one_each.mapInArrow(_digests, "uid long, start int, n int, digest binary")
-    digests = stored(digests, "digests")
-    source = digests.select(
-        F.col("uid").alias("source_uid"), F.col("start").alias("source_start"), "n", F.col("digest").alias("source_digest")
+    asked = places.groupBy("doc").agg(F.collect_set("span").alias("spans"))
+    digests = texts.select("doc", "uid", "text").join(asked, "doc").select(
+        F.struct("doc", "uid").alias("key"), "text", "spans"
     )
+    digests = digests.mapInArrow(_digests, f"key struct<doc:{kind},uid:bigint>, start int, n int, digest binary")
+    digests = step(digests.select("key.doc", "key.uid", "start", "n", "digest").distinct(), "digests")
+    own = digests.drop("doc")
+    source = digests.select(F.col("doc").alias("source"), F.col("start").alias("source_start"), "n", "digest")
     return (
-        paths.join(digests, ["uid", "start", "n"])
-        .join(source, ["source_uid", "source_start", "n"])
-        .filter("digest = source_digest")
-        .drop("digest", "source_digest")
+        paths.join(own, ["uid", "start", "n"])
+        .join(source, ["source", "source_start", "n", "digest"])
+        .select("doc", "uid", "start", "n", "source", "source_start")
+        .distinct()
     )
 
 
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED
-) -> tuple[DataFrame, DataFrame]:
-    """Verified repeated spans of ``docs`` and the stored texts they lie in.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Verified repeated spans of ``docs``, the stored texts they lie in, and the whole copies ``(doc, uid)``.
 
     Words are runs of anything but ASCII white space. A span is covered by windows of ``window`` words that also start
     in a document with a smaller id (the source). Null and short texts have none; rows without an id take no
     part; rows that share an id never count as repeats of each other; a text that repeats itself isn't a
-    repeat either. Other columns are ignored. Equal spans of many documents all name the smallest id.
+    repeat either. Other columns are ignored. Equal spans of many documents all name the smallest id. A text equal
+    to one with a smaller id isn't among the spans but among the copies: all its windows repeat.
     """
-    texts = stored(candidate_texts(identified(docs, id_col, text_col), window, seed), "texts")
-    paths = stored(repeated_paths(texts, window), "paths")
-    return verified(paths, texts), texts
+    rows = identified(docs, id_col, text_col)
+    copied = step(copies(rows), "copies")
+    texts = step(candidate_texts(rows, copied, window, seed), "texts")
+    paths = step(repeated_paths(texts, window), "paths")
+    return verified(paths, texts), texts, copied
 
 
 def kept_texts(spans: DataFrame, texts: DataFrame) -> DataFrame:
