@@ -106,10 +106,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: counts and a digest of its base spans, and all accepted spans."""
     found = pii.find_spans(_table(spark, sf_dir, "documents"), ["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for kind in pii.BASE_KINDS
-    ]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii.BASE_KINDS]
     return found.select(
         "doc.doc_id",
         *counts,
