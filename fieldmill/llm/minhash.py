@@ -252,13 +252,24 @@ def _third_texts(compared: DataFrame, open_pairs: DataFrame, similar: float) ->
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
+def _common_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The hub of a bucket of three or more becomes the best hub that any of its members meets in any bucket.
+
+    A group of near copies falls into many buckets; so they share one hub, to which all are compared.
+    """
+    known = members.join(hubs, "band")
+    best = known.groupBy("node").agg(F.max("top").alias("best"))
+    larger = known.filter("n > 2").join(best, "node").groupBy("band").agg(F.max("best").alias("top"), F.max("n").alias("n"))
+    return larger.union(hubs.filter("n = 2").select("band", "top", "n"))
+
+
 def linked_nodes(
     members: DataFrame, texts: DataFrame, shipped, size: int = SHINGLE, similar: float = SIMILAR, rounds: int = STAR_ROUNDS
 ) -> DataFrame:
     """Verified links ``(u, v)`` among ``members(band, node)``; ``texts`` has ``(node, text)``.
 
-    Every member of a bucket is compared with its hub, the member that meets most others; those unlike it with the hub
-    of the rest, for ``rounds`` rounds. A text that is open then is compared with every text of its first hub that it
+    Every member of a bucket is compared with its hub, a text that meets most others; those unlike it with the hub of
+    the rest, for ``rounds`` rounds. A text that is open then is compared with every text of its first hub that it
     could be similar to at all: those with which it shares one of a few shingles outside the hub, or that the hub
     holds as largely as itself. No pair that can link an open text is left out. Two groups that each have a hub are
     joined where a hub or an open text links them.
@@ -269,6 +280,8 @@ def linked_nodes(
     links, compared = None, None
     for k in range(rounds):
         hubs = rest.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("top"), F.count("*").alias("n")).filter("n > 1")
+        if k == 0:
+            hubs = _common_hubs(rest, hubs)
         met = rest.join(hubs.select("band", F.col("top.node").alias("hub")), "band").filter("node <> hub")
         if k == 0:
             met = met.withColumn("first", F.col("hub"))

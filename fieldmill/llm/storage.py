@@ -13,11 +13,13 @@ def step(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder, read it back and let go of the shuffle files that made it.
 
     Spark removes a shuffle's files when the driver has collected all handles to it; asking for that after each
-    step keeps the disk that a job of many steps needs near that of its largest step.
+    step keeps the disk that a job of many steps needs near that of its largest step. The first round lets
+    the JVM see what Python has dropped, the second collects it.
     """
     spark = df.sparkSession
     table = stored(df, label)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return table
