@@ -28,11 +28,10 @@ def infer_xml_schema(df: DataFrame, column: str, repeated: Sequence[str] = ()) -
     arrays even when no row repeats them. A known schema is cheaper: pass it to :func:`parse_xml`.
     """
     texts = df.select(F.col(quoted(column))).where(F.col(quoted(column)).isNotNull())
-    found = (
-        df.sparkSession.read.option("mode", "DROPMALFORMED")
-        .xml(texts.rdd.map(lambda row: row[0]))
-        .schema
-    )
+    reader = df.sparkSession.read.option("mode", "DROPMALFORMED")
+    # Spark's reader infers from a Dataset[String]; handed over as one, the texts never leave the JVM.
+    strings = getattr(texts._jdf, "as")(df.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = reader._df(reader._jreader.xml(strings)).schema
     fields = []
     for field in found.fields:
         if field.name in repeated and not isinstance(field.dataType, ArrayType):

@@ -1,10 +1,10 @@
 from fieldmill.operators.compare import frame_difference
 from fieldmill.operators.groups import (
     distinct_counts,
-    distinct_value_sets,
     distinct_values,
     group_stats,
     mode_per_group,
+    order_split,
     ratio_where,
     top_k,
     top_per_group,
@@ -12,6 +12,7 @@ from fieldmill.operators.groups import (
 from fieldmill.operators.headers import clean_header, lower_names, sort_columns, trim_strings
 from fieldmill.operators.lookups import left_join_many, lookup_roles
 from fieldmill.operators.nested import (
+    array_positions,
     array_to_columns,
     flatten_struct,
     positions_to_columns,
@@ -21,11 +22,11 @@ from fieldmill.operators.nulls import cast_columns, drop_all_null_columns, na_to
 from fieldmill.operators.quality import expect_or_drop, expectation_report, require_shape
 
 __all__ = [
+    "array_positions",
     "array_to_columns",
     "cast_columns",
     "clean_header",
     "distinct_counts",
-    "distinct_value_sets",
     "distinct_values",
     "drop_all_null_columns",
     "expect_or_drop",
@@ -38,6 +39,7 @@ __all__ = [
     "lower_names",
     "mode_per_group",
     "na_to_null",
+    "order_split",
     "positions_to_columns",
     "prefix_columns",
     "ratio_where",

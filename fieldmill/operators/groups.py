@@ -25,33 +25,27 @@ def distinct_values(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
 
 
-def distinct_value_sets(
-    df: DataFrame, columns: Sequence[str] | None = None, max_values: int = 10_000
-) -> DataFrame:
-    """One row holding, per column, the sorted array of its distinct non-null values.
+def distinct_counts(df: DataFrame, column: str) -> DataFrame:
+    """One row: exact distinct values, the same with null as a value, and the sketched estimate.
 
-    A single row cannot hold an unbounded set, so a job first counts the distinct values and raises
-    when a column has more than ``max_values``; :func:`distinct_values` has no such bound.
+    All three are counted over the distinct values, so the input is read once and a task hands on one sketch,
+    not one for each value.
     """
-    names = list(df.columns if columns is None else columns)
-    counts = distinct_values(df, names).groupBy("column").count()
-    too_many = [row["column"] for row in counts.where(F.col("count") > max_values).collect()]
-    if too_many:
-        raise ValueError(
-            f"more than {max_values} distinct values in {sorted(too_many)}; use distinct_values"
-        )
-    return df.agg(*[F.sort_array(F.collect_set(quoted(name))).alias(name) for name in names])
+    values = df.select(F.col(quoted(column)).alias("value")).distinct()
+    return values.agg(
+        F.count("value").alias("n_distinct"),
+        F.count("*").alias("n_distinct_with_null"),
+        F.approx_count_distinct("value").alias("n_approx"),
+    )
 
 
-def distinct_counts(df: DataFrame, column: str) -> DataFrame:
-    """One row: exact distinct values, the same with null as a value, and the sketched estimate."""
-    value = F.col(quoted(column))
-    has_null = F.coalesce(F.max(value.isNull().cast("int")), F.lit(0))
-    return df.agg(
-        F.count_distinct(value).alias("n_distinct"),
-        (F.count_distinct(value) + has_null).alias("n_distinct_with_null"),
-        F.approx_count_distinct(value).alias("n_approx"),
-    )
+def order_split(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Sort so that rows equal in ``order`` may still be spread over several tasks.
+
+    Their place in the input tells them apart.
+    """
+    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.orderBy(*order, "__row").drop("__row")
 
 
 def _join_groups(

@@ -33,61 +33,17 @@ def lookup_roles(
     return df
 
 
-def heavy_keys(df: DataFrame, key: str, heavy_rows: int, most: int = 10_000) -> DataFrame | None:
-    """The keys with more than ``heavy_rows`` rows and how many parts to cut each into.
+def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT JOIN right`` where one key of ``right`` may hold much of the data.
 
-    Runs one job over the key column. At most the ``most`` heaviest keys are returned, which bounds
-    the table to a size that can be broadcast; any further key holds less than ``1 / most`` of the
-    rows. ``None`` when there is no heavy key.
+    Spark splits a heavy key of a left join only on the left side, of an inner join on either. So this is an
+    inner join and, with nulls for the columns of ``right``, the rows of ``left`` whose key ``right`` doesn't
+    hold; its distinct keys are aggregated before their shuffle, which takes the heat out of them. Both
+    inputs are read twice and must be deterministic.
     """
-    counts = df.where(F.col(quoted(key)).isNotNull()).groupBy(quoted(key)).count()
-    heaviest = (
-        counts.where(F.col("count") > heavy_rows)
-        .orderBy(F.desc("count"), F.asc(quoted(key)))
-        .limit(most)
-        .select(quoted(key), F.ceil(F.col("count") / heavy_rows).cast("int").alias("__parts"))
-    )
-    found = heaviest.collect()
-    return df.sparkSession.createDataFrame(found, heaviest.schema) if found else None
-
-
-def left_join_many(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    heavy_rows: int = 1_000_000,
-) -> DataFrame:
-    """``left LEFT JOIN right`` for a stored ``right`` in which one key may hold much of the data.
-
-    Spark splits a heavy key of a left join only on the left side. So the keys of ``right`` are
-    counted first (one job over that column). Usually none is heavy and this is a plain left join.
-    Otherwise the rows of each heavy key are dealt out to parts of about ``heavy_rows`` rows, its left
-    rows are repeated once per part, and key and part are joined together. Light keys have one part.
-    A heavy key has matches, so its repeats that found an empty part are dropped again; no other row
-    is lost or repeated.
-    """
-    heavy = heavy_keys(right, right_key, heavy_rows)
-    key = F.col(quoted(left_key))
-    if heavy is None:
-        return left.join(right, key == F.col(quoted(right_key)), "left")
-
-    # At most 10,000 rows, see heavy_keys.
-    heavy = F.broadcast(heavy.withColumnRenamed(right_key, "__heavy"))
-    parts = F.coalesce(F.col("__parts"), F.lit(1))
-    left_parts = left.join(heavy, key == F.col("__heavy"), "left").withColumn(
-        "__left_part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    right_parts = (
-        right.where(F.col(quoted(right_key)).isNotNull())
-        .join(heavy, F.col(quoted(right_key)) == F.col("__heavy"), "left")
-        .withColumn("__right_part", F.pmod(F.monotonically_increasing_id(), parts).cast("int"))
-        .drop("__heavy", "__parts")
-    )
-    on = (key == F.col(quoted(right_key))) & (F.col("__left_part") == F.col("__right_part"))
-    empty_repeat = F.col("__heavy").isNotNull() & F.col("__right_part").isNull()
-    return (
-        left_parts.join(right_parts, on, "left")
-        .where(~empty_repeat)
-        .drop("__heavy", "__parts", "__left_part", "__right_part")
-    )
+    key, other = F.col(quoted(left_key)), F.col(quoted(right_key))
+    matched = left.join(right, key == other)
+    keys = right.select(other.alias("__held")).distinct()
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in right.schema.fields]
+    unmatched = left.join(keys, key == F.col("__held"), "left_anti").select("*", *nulls)
+    return matched.union(unmatched)

@@ -46,17 +46,23 @@ def positions_to_columns(
     return df.select(*[quoted(name) for name in df.columns if name != column], *slots)
 
 
-def array_to_columns(
-    df: DataFrame, column: str, prefix: str, n: int | None = None, most: int = 2_000
-) -> DataFrame:
+def array_to_columns(df: DataFrame, column: str, prefix: str, n: int | None = None) -> DataFrame:
     """Add ``prefix0 … prefix{n-1}`` from an array column given by name or path (``visits.age``).
 
-    Without ``n`` the longest array in the data decides, found by one job that returns one number.
-    When that is more than ``most``, the table would be too wide to plan and an error is raised.
+    Without ``n`` the longest array in the data decides, found by one job that returns one number. With
+    ``n``, what lies beyond is kept as an array in ``prefix_rest``, null where nothing does. Where arrays may be
+    very long, :func:`array_positions` gives rows instead of columns.
     """
     values = F.col(column)
+    rest = []
     if n is None:
         n = df.agg(F.max(element_count(values))).first()[0] or 0
-        if n > most:
-            raise ValueError(f"the longest array has {n} elements; explode it, or give n")
-    return df.select("*", *[F.get(values, F.lit(i)).alias(f"{prefix}{i}") for i in range(n)])
+    else:
+        beyond = F.slice(values, n + 1, F.greatest(F.size(values) - n, F.lit(1)))
+        rest = [F.when(F.size(values) > n, beyond).alias(f"{prefix}_rest")]
+    return df.select("*", *[F.get(values, F.lit(i)).alias(f"{prefix}{i}") for i in range(n)], *rest)
+
+
+def array_positions(df: DataFrame, column: str, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """One row ``(keys, position, value)`` per array element, positions from 0; no array, no row."""
+    return df.select(*map(quoted, keys), F.posexplode(F.col(column)).alias("position", value))

@@ -32,18 +32,12 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
-def drop_all_null_columns(df: DataFrame, look_ahead: int = 100) -> DataFrame:
-    """Drop the columns that hold no value at all, keeping the order. Runs one or two jobs.
+def drop_all_null_columns(df: DataFrame) -> DataFrame:
+    """Drop the columns that hold no value at all, keeping the order. Runs one job.
 
-    A look at the first rows settles most columns; only those still empty are then aggregated over
-    the whole table, in one pass that reads nothing but them. A table without rows loses every
-    column.
+    One aggregate over the whole table tells which columns hold something. The input is read again by
+    whoever uses the result, so give a stored table. A table without rows loses every column.
     """
-    known = [F.col(quoted(name)).isNotNull() for name in df.columns]
-    head = df.select(*known).take(look_ahead)
-    filled = {i for i in range(len(known)) if any(row[i] for row in head)}
-    open_columns = [i for i in range(len(known)) if i not in filled]
-    if open_columns and head:
-        seen = df.agg(*[F.max(known[i]) for i in open_columns]).first()
-        filled.update(i for i, value in zip(open_columns, seen) if value)
-    return df.select(*[quoted(name) for i, name in enumerate(df.columns) if i in filled])
+    known = [F.max(F.col(quoted(name)).isNotNull()) for name in df.columns]
+    filled = df.agg(*known).first() if known else []
+    return df.select(*[quoted(name) for name, holds in zip(df.columns, filled) if holds])

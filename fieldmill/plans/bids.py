@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from fieldmill.operators import expect_or_drop
+from fieldmill.sources import read_json
 from fieldmill.streaming import (
     gold,
     run_available,
@@ -16,10 +18,12 @@ from fieldmill.streaming import (
     silver_imp,
     silver_site,
     start_available,
+    stored_schema,
     stream_json,
     stream_parquet,
 )
 
+# The fields that the silver steps read. As an explicit schema it narrows bronze to them.
 BID_SCHEMA = """
     id string,
     device struct<os: string, ua: string, geo: struct<country: string>>,
@@ -43,18 +47,32 @@ class BidTables:
         return f"{self.root}/_progress/{stage}"
 
 
+def _incoming_schema(spark: SparkSession, incoming: str, multi_line: bool) -> StructType | str:
+    """The fields of all files that are there; without any, those the silver steps read."""
+    try:
+        return read_json(spark, incoming, multi_line=multi_line).schema
+    except AnalysisException as error:
+        if "unable to infer schema" not in str(error).lower():
+            raise
+        return BID_SCHEMA
+
+
 def update_bronze(
     spark: SparkSession,
     incoming: str,
     tables: BidTables,
-    schema: StructType | str = BID_SCHEMA,
+    schema: StructType | str | None = None,
     multi_line: bool = True,
     **options: str,
 ) -> DataFrame:
-    """Append the bids of new files in ``incoming`` as they are.
+    """Append the bids of new files in ``incoming`` as they are, with every field they have.
 
-    ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` cut a large backlog into several micro-batches.
+    Without a schema the fields and types are those of all files in ``incoming``, found by one job over
+    them; a given schema saves that job and keeps only its own fields. Later files may bring new fields:
+    the stored table then has the fields of all runs. ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` cut
+    a large backlog into several micro-batches.
     """
+    schema = schema or _incoming_schema(spark, incoming, multi_line)
     raw = stream_json(spark, incoming, schema, multi_line=multi_line, **options)
     return run_available(raw, tables.table("bronze"), tables.checkpoint("bronze"))
 
@@ -70,10 +88,14 @@ def update_silver(
     spark: SparkSession,
     tables: BidTables,
     stages: Sequence[str] = tuple(SILVER_STEPS),
-    schema: StructType | str = BID_SCHEMA,
+    schema: StructType | str | None = None,
     **options: str,
 ) -> dict[str, DataFrame]:
-    """Run silver steps over the bronze rows they have not seen, side by side, and wait for all."""
+    """Run silver steps over the bronze rows they have not seen, side by side, and wait for all.
+
+    Without a schema bronze is read with the fields of all its files.
+    """
+    schema = schema or stored_schema(spark, tables.table("bronze"), BID_SCHEMA)
     new_bids = stream_parquet(spark, tables.table("bronze"), schema, **options)
     running = [
         start_available(SILVER_STEPS[stage](new_bids), tables.table(stage), tables.checkpoint(stage))
@@ -85,9 +107,10 @@ def update_silver(
 
 
 def read_silver(
-    spark: SparkSession, tables: BidTables, stage: str, schema: StructType | str = BID_SCHEMA
+    spark: SparkSession, tables: BidTables, stage: str, schema: StructType | str | None = None
 ) -> DataFrame:
-    """A stored silver table; it may still be without rows."""
+    """A stored silver table; it may still be without rows. A field that older files lack is null there."""
+    schema = schema or stored_schema(spark, tables.table("bronze"), BID_SCHEMA)
     columns = SILVER_STEPS[stage](spark.createDataFrame([], schema)).schema
     return spark.read.schema(columns).parquet(tables.table(stage))
 
@@ -97,7 +120,7 @@ def build_gold(
     tables: BidTables,
     in_view: Column | None = None,
     only_valid_consent: bool = False,
-    schema: StructType | str = BID_SCHEMA,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """Recompute gold from the stored silver tables, optionally with the consent gate."""
     device, imp, site = (read_silver(spark, tables, stage, schema) for stage in SILVER_STEPS)

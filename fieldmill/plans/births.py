@@ -15,7 +15,7 @@ from fieldmill.functions import (
     infer_xml_schema,
     parse_xml,
 )
-from fieldmill.operators import mode_per_group, positions_to_columns, top_k, top_per_group
+from fieldmill.operators import mode_per_group, order_split, positions_to_columns, top_k, top_per_group
 from fieldmill.sources import json_view, stored
 
 # The slots of one birth record.
@@ -78,11 +78,17 @@ def publish_births(
     records.createOrReplaceTempView(view)
 
 
+def withdraw_births(spark: SparkSession, view: str = "birth_records") -> None:
+    """Drop the views of :func:`publish_births`; results already asked for keep working."""
+    spark.catalog.dropTempView(view)
+    spark.catalog.dropTempView(f"{view}_raw")
+
+
 def top_names_sql(spark: SparkSession, view: str = "birth_records") -> DataFrame:
     """Most frequent name of each year in SQL; names that share the first place are all kept.
 
     The ranking runs over the distinct counts of a year and is joined back, so that the records
-    which share a first place are never gathered in one task.
+    which share a first place are never gathered in one task, and the sort ends with the record's key.
     """
     return spark.sql(
         f"""
@@ -94,7 +100,7 @@ def top_names_sql(spark: SparkSession, view: str = "birth_records") -> DataFrame
         FROM `{view}` AS births
         JOIN placed ON births.year <=> placed.year AND births.count <=> placed.count
         WHERE placed.place = 1
-        ORDER BY births.year
+        ORDER BY births.year, births.first_name_clean, births.sid
         """
     )
 
@@ -110,7 +116,7 @@ def top_names(births: DataFrame, ties: str = "all", sum_first: bool = False) ->
         names = names.groupBy("first_name_clean", "year").agg(F.sum("count").alias("count"))
         names = names.select("first_name_clean", "count", "year")
     best = top_per_group(names, ["year"], "count", ties=ties, tiebreak=["first_name_clean"])
-    return best.orderBy("year", "first_name_clean")
+    return order_split(best, "year", "first_name_clean")
 
 
 def parse_visitors(births: DataFrame, schema: StructType | str | None = None) -> DataFrame:
@@ -160,5 +166,6 @@ def mean_visitor_age(visits: DataFrame, pooled: bool = False) -> DataFrame:
 
 def most_common_age(visits: DataFrame) -> DataFrame:
     """The most frequent visitor age of each county with its count; the lower age on a tie."""
-    ages = visits.select("county_clean", F.explode("ages").alias("age"))
+    # An outer explode, or Spark infers filters on the array and parses the XML again for each.
+    ages = visits.select("county_clean", F.explode_outer("ages").alias("age"))
     return mode_per_group(ages, ["county_clean"], "age")

@@ -9,12 +9,13 @@ from fieldmill.operators import expectation_report
 from fieldmill.plans import bids
 from fieldmill.plans.registry import query
 from fieldmill.plans.rehost import BIDS_SQL, bid_documents
-from fieldmill.sources import new_shared_folder
+from fieldmill.sources import load_table, new_shared_folder
+from fieldmill.streaming import in_view_flag
 
 
 def with_bronze(spark: SparkSession, folder: str) -> bids.BidTables:
     tables = bids.BidTables(new_shared_folder(spark, "medallion"))
-    bids.update_bronze(spark, bid_documents(spark, folder), tables)
+    bids.update_bronze(spark, bid_documents(spark, folder), tables, bids.BID_SCHEMA)
     return tables
 
 
@@ -51,6 +52,45 @@ def stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "stream_bronze_new_field",
+    f"""WITH {BIDS_SQL}
+        SELECT id, os AS device_os, country AS device_country,
+               CASE WHEN o_orderkey % 2 = 1 THEN 'model ' || o_custkey % 9 END AS device_model,
+               CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey + 1000 END AS at,
+               CAST(CASE WHEN n_imp > 0 THEN n_imp END AS INTEGER) AS n_imp
+        FROM bids""",
+)
+def stream_bronze_new_field(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests in two drops, the second with two more fields; both go through bronze and silver."""
+    root = new_shared_folder(spark, "drops")
+    tables = bids.BidTables(f"{root}/tables")
+    drops = [("first", "o_orderkey % 2 = 0", "", ""), ("second", "o_orderkey % 2 = 1",
+             "o_orderkey + 1000 AS at,", "concat('model ', o_custkey % 9) AS model,")]
+    for name, which, more, device in drops:
+        bid_documents(spark, folder, f"{root}/incoming/{name}", which, more, device)
+        bronze = bids.update_bronze(spark, f"{root}/incoming/*", tables)
+        silver = bids.update_silver(spark, tables, ["device"])["device"]
+    kept = bronze.select("id", "at", F.when(F.col("imp").isNotNull(), F.size("imp")).alias("n_imp"))
+    return silver.join(kept, F.col("device_auction_id") == F.col("id")).select(
+        "id", "device_os", "device_country", "device_model", "at", "n_imp"
+    )
+
+
+@query(
+    "in_view_share",
+    "SELECT count(*) AS n, true AS only_flags, true AS share_is_close FROM orders",
+)
+def in_view_share(spark: SparkSession, folder: str) -> DataFrame:
+    """The random flag drawn for every order: only 0 and 1, and three in five are 1."""
+    flags = load_table(spark, folder, "orders").select(in_view_flag(F.col("o_orderkey")).alias("flag"))
+    return flags.agg(
+        F.count("*").alias("n"),
+        F.bool_and(F.col("flag").isin(0.0, 1.0)).alias("only_flags"),
+        (F.abs(F.avg("flag") - 0.6) <= 0.02).alias("share_is_close"),
+    )
+
+
 @query(
     "stream_silver_device",
     f"""WITH {BIDS_SQL}

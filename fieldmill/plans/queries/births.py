@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmill.functions import infer_xml_schema
-from fieldmill.operators import array_to_columns, require_shape
+from fieldmill.operators import array_positions, array_to_columns, require_shape
 from fieldmill.plans import births
 from fieldmill.plans.registry import query, rounded_sql
 from fieldmill.plans.rehost import (
@@ -56,7 +56,9 @@ def json_view_positions(spark: SparkSession, folder: str) -> DataFrame:
     """The same through a JSON source declared in SQL, its schema inferred."""
     view = f"birth_records_{uuid.uuid4().hex}"
     births.publish_births(spark, birth_documents(spark, folder), view)
-    return checked_columns(spark.table(view))
+    records = checked_columns(spark.table(view))
+    births.withdraw_births(spark, view)
+    return records
 
 
 TOP_NAMES_SQL = f"""SELECT first_name_clean, count, year FROM ({BIRTHS_SQL})
@@ -67,7 +69,9 @@ TOP_NAMES_SQL = f"""SELECT first_name_clean, count, year FROM ({BIRTHS_SQL})
 def top_names_by_year_sql(spark: SparkSession, folder: str) -> DataFrame:
     view = f"birth_records_{uuid.uuid4().hex}"
     births.publish_births(spark, birth_documents(spark, folder), view, store=True)
-    return births.top_names_sql(spark, view)
+    names = births.top_names_sql(spark, view)
+    births.withdraw_births(spark, view)
+    return names
 
 
 @query("top_names_by_year", TOP_NAMES_SQL)
@@ -190,7 +194,7 @@ def most_common_age(spark: SparkSession, folder: str) -> DataFrame:
         SELECT county_clean, age, n FROM counted ORDER BY n DESC, age LIMIT 1""",
 )
 def most_common_age_in_county(spark: SparkSession, folder: str) -> DataFrame:
-    """A filter on the result that the optimizer moves to the scan."""
+    """A filter on the result that the optimizer moves below the grouping and the XML parsing."""
     common = births.most_common_age(visits(spark, folder))
     return common.where(F.col("county_clean") == "purchaseco")
 
@@ -204,5 +208,15 @@ def most_common_age_in_county(spark: SparkSession, folder: str) -> DataFrame:
         FROM births LEFT JOIN visitors USING (event_id) GROUP BY 1, 2""",
 )
 def ages_to_columns(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = visits(spark, folder).select("event_id", "num_visitors", "birth_visits")
-    return array_to_columns(parsed, "birth_visits._age", "age").drop("birth_visits")
+    """Finding the longest array and filling the columns are two reads, so the parsed visits are stored."""
+    parsed = visits(spark, folder).select("event_id", "num_visitors", "ages")
+    return array_to_columns(stored(parsed, "visits"), "ages", "age").drop("ages")
+
+
+@query(
+    "array_positions",
+    f"""WITH {VISITS_SQL} SELECT event_id, CAST(i - 1 AS INTEGER) AS position, age FROM visitors""",
+)
+def ages_by_position(spark: SparkSession, folder: str) -> DataFrame:
+    """The same ages as rows, however long an array is."""
+    return array_positions(visits(spark, folder), "ages", ["event_id"], "age")

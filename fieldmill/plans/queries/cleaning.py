@@ -44,6 +44,15 @@ def lower_case_columns(spark: SparkSession, folder: str) -> DataFrame:
     return part.toDF(*[name.upper() for name in part.columns]).transform(lower_names)
 
 
+def flags_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Flag and status of line items, some of them marked as unknown and so null."""
+    lines = load_table(spark, folder, "lineitem")
+    return lines.select(
+        F.when(F.col("l_quantity") < 5, "NA").otherwise(F.col("l_returnflag")).alias("flag"),
+        F.when(F.col("l_discount") < 0.02, "NA").otherwise(F.col("l_linestatus")).alias("status"),
+    ).transform(na_to_null)
+
+
 @query(
     "na_to_null_counts",
     """SELECT 'complete rows' AS measure, count(*) AS n FROM lineitem
@@ -56,27 +65,26 @@ def lower_case_columns(spark: SparkSession, folder: str) -> DataFrame:
        SELECT 'null statuses', count(*) FROM lineitem WHERE l_discount < 0.02""",
 )
 def na_to_null_counts(spark: SparkSession, folder: str) -> DataFrame:
-    lines = (
-        load_table(spark, folder, "lineitem")
-        .select(
-            F.when(F.col("l_quantity") < 5, "NA").otherwise(F.col("l_returnflag")).alias("flag"),
-            F.when(F.col("l_discount") < 0.02, "NA").otherwise(F.col("l_linestatus")).alias("status"),
-        )
-        .transform(na_to_null)
-    )
+    """All four counts in one pass."""
+    flag, status = F.col("flag"), F.col("status")
+    measures = {
+        "complete rows": flag.isNotNull() & status.isNotNull(),
+        "rows with flag": flag.isNotNull(),
+        "null flags": flag.isNull(),
+        "null statuses": status.isNull(),
+    }
+    counts = flags_with_gaps(spark, folder).agg(*[F.count_if(test).alias(name) for name, test in measures.items()])
+    return counts.unpivot([], list(measures), "measure", "n")
 
-    def counted(measure: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count("*").alias("n")).select(F.lit(measure).alias("measure"), "n")
 
-    nulls = lines.agg(
-        F.count(F.when(F.isnull("flag"), 1)).alias("null flags"),
-        F.count(F.when(F.isnull("status"), 1)).alias("null statuses"),
-    )
-    return (
-        counted("complete rows", lines.na.drop())
-        .union(counted("rows with flag", lines.na.drop(subset=["flag"])))
-        .union(nulls.unpivot([], ["null flags", "null statuses"], "measure", "n"))
-    )
+@query(
+    "rows_without_nulls",
+    """SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n FROM lineitem
+       WHERE NOT l_quantity < 5 AND NOT l_discount < 0.02 GROUP BY 1, 2""",
+)
+def rows_without_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    complete = flags_with_gaps(spark, folder).na.drop()
+    return complete.groupBy("flag", "status").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -122,7 +130,8 @@ def filter_sql_string(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "typed_shape_check",
-    "SELECT event_id, user_id, event_type, value, props FROM events",
+    """SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts
+       FROM events""",
 )
 def typed_shape_check(spark: SparkSession, folder: str) -> DataFrame:
     shape = StructType(
@@ -133,7 +142,8 @@ def typed_shape_check(spark: SparkSession, folder: str) -> DataFrame:
             StructField("value", DoubleType()),
         ]
     )
-    return load_table(spark, folder, "events").transform(require_shape, shape).drop("ts")
+    checked = load_table(spark, folder, "events").transform(require_shape, shape)
+    return checked.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmill.operators import cast_columns, na_to_null
+from fieldmill.plans import temps
 from fieldmill.plans.registry import query
 from fieldmill.sources import (
     drop_table,
@@ -17,6 +18,7 @@ from fieldmill.sources import (
     read_json,
     read_with_borrowed_header,
     replace_table,
+    stored,
 )
 
 ORDER_TYPES = {
@@ -119,11 +121,19 @@ def padded_text_read(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("json_lines_read", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query(
+    "json_lines_read",
+    """SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts
+       FROM events""",
+)
 def json_lines_read(spark: SparkSession, folder: str) -> DataFrame:
     out = f"{new_shared_folder(spark, 'lines')}/events"
-    load_table(spark, folder, "events").drop("ts").write.json(out)
-    return read_json(spark, out).select(*EVENT_TYPES)
+    moments = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    load_table(spark, folder, "events").write.option("timestampNTZFormat", moments).json(out)
+    moment = F.to_timestamp_ntz("ts", F.lit(moments))
+    shown = F.date_format(moment.cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS").alias("ts")
+    schema = ", ".join(f"{name} {dtype}" for name, dtype in EVENT_TYPES.items())
+    return read_json(spark, out, schema=f"{schema}, ts string").select(*EVENT_TYPES, shown)
 
 
 @query(
@@ -148,6 +158,33 @@ def filter_and_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return answer
 
 
+@query(
+    "warm_days",
+    """SELECT DISTINCT o_orderpriority AS airport, strftime(o_orderdate, '%Y-%m-%d') AS day,
+              CAST(floor(o_totalprice / 5000) AS INTEGER) AS high, CAST(o_custkey % 40 AS INTEGER) AS low
+       FROM orders WHERE o_orderpriority <> '1-URGENT' AND o_orderdate > '1998-06-01'""",
+)
+def warm_days_of_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings made from orders in a managed table; the answer is stored before the table is dropped."""
+    name = f"fieldmill_temps_{uuid.uuid4().hex}"
+    readings = load_table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("AirportCode"),
+        F.to_date("o_orderdate").alias("Date"),
+        F.floor(F.col("o_totalprice") / 5000).cast("int").alias("TempHighF"),
+        (F.col("o_custkey") % 40).cast("int").alias("TempLowF"),
+    )
+    replace_table(readings, name)
+    warm = temps.warm_days(spark, name, without="1-URGENT", after="1998-06-01")
+    answer = stored(warm, "warm")
+    drop_table(spark, name)
+    return answer.select(
+        F.col("AirportCode").alias("airport"),
+        F.date_format("Date", "yyyy-MM-dd").alias("day"),
+        F.col("TempHighF").alias("high"),
+        F.col("TempLowF").alias("low"),
+    )
+
+
 @query(
     "filter_and_dedupe_frames",
     """SELECT DISTINCT o_orderstatus, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate

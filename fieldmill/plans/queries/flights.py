@@ -14,10 +14,26 @@ def _number(name: str) -> str:
     return f'TRY_CAST(nullif("{name}", \'NA\') AS INTEGER)'
 
 
-_NUMBERS = (
-    "Year Month DayofMonth DepTime CRSDepTime ArrTime CRSArrTime FlightNum ActualElapsedTime "
-    "CRSElapsedTime AirTime ArrDelay DepDelay Distance TaxiIn TaxiOut Cancelled Diverted"
-).split()
+_NUMBERS = [
+    "Year",
+    "Month",
+    "DayofMonth",
+    "DepTime",
+    "CRSDepTime",
+    "ArrTime",
+    "CRSArrTime",
+    "FlightNum",
+    "ActualElapsedTime",
+    "CRSElapsedTime",
+    "AirTime",
+    "ArrDelay",
+    "DepDelay",
+    "Distance",
+    "TaxiIn",
+    "TaxiOut",
+    "Cancelled",
+    "Diverted",
+]
 PREPARED_SQL = f"""
     raw AS (SELECT {select_list(FLIGHT_FIELDS)} FROM lineitem),
     airports AS (

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmill.functions import is_later, timing_label, timing_label_udf
 from fieldmill.operators import (
     distinct_counts,
-    distinct_value_sets,
     distinct_values,
     frame_difference,
     group_stats,
     lookup_roles,
     mode_per_group,
+    order_split,
     ratio_where,
     top_k,
     top_per_group,
@@ -134,13 +132,13 @@ def distinct_counts_of_segments(spark: SparkSession, folder: str) -> DataFrame:
     segments = load_table(spark, folder, "customer").select(
         F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("segment")
     )
-    counts = distinct_counts(segments, "segment")
-    kept = segments.dropDuplicates(["segment"]).agg(F.count("*").alias("n_rows_without_repeats"))
+    counts = distinct_counts(segments.dropDuplicates(["segment"]), "segment")
     close = F.abs(F.col("n_approx") - F.col("n_distinct")) <= 0.1 * F.col("n_distinct")
-    return counts.join(
-        kept, F.col("n_distinct_with_null") == F.col("n_rows_without_repeats"), "left"
-    ).select(
-        "n_distinct", "n_distinct_with_null", "n_rows_without_repeats", close.alias("estimate_is_close")
+    return counts.select(
+        "n_distinct",
+        "n_distinct_with_null",
+        F.col("n_distinct_with_null").alias("n_rows_without_repeats"),
+        close.alias("estimate_is_close"),
     )
 
 
@@ -150,11 +148,14 @@ def distinct_counts_of_segments(spark: SparkSession, folder: str) -> DataFrame:
        FROM lineitem GROUP BY 1""",
 )
 def approx_distinct_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact and estimated counts over the distinct pairs, so that sketches travel per flag, not per part."""
     return (
         load_table(spark, folder, "lineitem")
+        .select("l_returnflag", "l_partkey")
+        .distinct()
         .groupBy("l_returnflag")
         .agg(
-            F.count_distinct("l_partkey").alias("n_parts"),
+            F.count("l_partkey").alias("n_parts"),
             F.approx_count_distinct("l_partkey").alias("estimate"),
         )
         .select(
@@ -187,29 +188,26 @@ def distinct_values_of_orders(spark: SparkSession, folder: str) -> DataFrame:
        FROM orders""",
 )
 def distinct_value_sets_of_orders(spark: SparkSession, folder: str) -> DataFrame:
-    orders = load_table(spark, folder, "orders").select("o_orderstatus", "o_orderpriority")
-    sets = distinct_value_sets(orders)
-    return sets.select(
-        F.array_join("o_orderstatus", ",").alias("statuses"),
-        F.array_join("o_orderpriority", ",").alias("priorities"),
-    )
+    """The distinct values of two columns that hold a few each, as texts in one row."""
+    found = distinct_values(load_table(spark, folder, "orders"), ["o_orderstatus", "o_orderpriority"])
+
+    def joined(column: str) -> Column:
+        return F.array_join(F.array_sort(F.collect_list(F.when(F.col("column") == column, F.col("value")))), ",")
+
+    return found.agg(joined("o_orderstatus").alias("statuses"), joined("o_orderpriority").alias("priorities"))
 
 
 @query(
     "conditional_ratio",
-    f"""SELECT count(*) FILTER (WHERE x * x + y * y < 1) AS n_passed, count(*) AS n,
-              {rounded_sql("count(*) FILTER (WHERE x * x + y * y < 1) / count(*)", 6)} AS ratio
-       FROM (SELECT (l_partkey * 7919 % 1000) / 500.0 - 1 AS x, (l_orderkey * 6007 % 1000) / 500.0 - 1 AS y
-             FROM lineitem)""",
+    f"""WITH {SHIPMENTS_SQL}
+       SELECT count(*) FILTER (WHERE delay > 60) AS n_passed, count(*) AS n,
+              {rounded_sql("count(*) FILTER (WHERE delay > 60) / count(*)", 6)} AS ratio
+       FROM shipments""",
 )
 def conditional_ratio(spark: SparkSession, folder: str) -> DataFrame:
-    """Share of line items whose scrambled keys, read as a point, lie in the unit circle."""
-    points = load_table(spark, folder, "lineitem").select(
-        (F.col("l_partkey") * 7919 % 1000 / 500.0 - 1).alias("x"),
-        (F.col("l_orderkey") * 6007 % 1000 / 500.0 - 1).alias("y"),
-    )
-    inside = F.col("x") * F.col("x") + F.col("y") * F.col("y") < 1
-    return ratio_where(points, inside).withColumn("ratio", F.round("ratio", 6))
+    """Share of all line items that were shipped more than two months after their order."""
+    late = ratio_where(shipments(spark, folder), F.col("delay") > 60)
+    return late.withColumn("ratio", F.round("ratio", 6))
 
 
 @query(
@@ -263,15 +261,14 @@ def top_per_year_rownum(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("top_per_year_sql", TOP_RANK_SQL)
 def top_per_year_sql(spark: SparkSession, folder: str) -> DataFrame:
-    view = f"yearly_orders_{uuid.uuid4().hex}"
-    yearly_orders(spark, folder).createOrReplaceTempView(view)
     return spark.sql(
-        f"""WITH placed AS (
+        """WITH placed AS (
                 SELECT year, thousands, rank() OVER (PARTITION BY year ORDER BY thousands DESC) AS place
-                FROM (SELECT DISTINCT year, thousands FROM {view}))
+                FROM (SELECT DISTINCT year, thousands FROM {yearly}))
             SELECT o.year, o.o_orderkey, o.thousands
-            FROM {view} o JOIN placed p ON o.year <=> p.year AND o.thousands <=> p.thousands
-            WHERE p.place = 1 ORDER BY o.year"""
+            FROM {yearly} o JOIN placed p ON o.year <=> p.year AND o.thousands <=> p.thousands
+            WHERE p.place = 1 ORDER BY o.year, o.o_orderkey""",
+        yearly=yearly_orders(spark, folder),
     )
 
 
@@ -332,7 +329,7 @@ def window_group_stats(spark: SparkSession, folder: str) -> DataFrame:
         "l_shipdate", "l_returnflag", "l_partkey", "l_quantity"
     )
     stats = group_stats(lines, ["l_shipdate", "l_returnflag"], "l_quantity", "qty")
-    return stats.orderBy("l_shipdate", "l_returnflag", "l_quantity").select(
+    return order_split(stats, "l_shipdate", "l_returnflag", "l_quantity").select(
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipdate"),
         *[name for name in stats.columns if name != "l_shipdate"],
     )
@@ -358,10 +355,23 @@ def three_column_sort(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("sample_rows", "SELECT least(count(*), 1000) AS n FROM orders")
+@query(
+    "sample_rows",
+    "SELECT least(count(*), 1000) AS n, least(count(*), 1000) AS n_keys, least(count(*), 1000) AS n_known FROM orders",
+)
 def sample_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """A sample of any thousand rows; only its size is certain."""
-    return load_table(spark, folder, "orders").limit(1000).agg(F.count("*").alias("n"))
+    """A sample of any thousand rows: its size, that no key comes twice and that all are in the table."""
+    keys = load_table(spark, folder, "orders").select("o_orderkey")
+    known = keys.withColumnRenamed("o_orderkey", "known")
+    return (
+        keys.limit(1000)
+        .join(known, F.col("o_orderkey") == F.col("known"), "left")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_distinct("o_orderkey").alias("n_keys"),
+            F.count("known").alias("n_known"),
+        )
+    )
 
 
 @query(

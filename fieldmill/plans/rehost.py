@@ -187,16 +187,21 @@ VISITS_SQL = f"""
 """
 
 
-def bid_documents(spark: SparkSession, folder: str) -> str:
-    """Write one bid request per order as multi-line JSON arrays."""
-    out = f"{new_shared_folder(spark, 'bids')}/incoming"
-    fields = load_table(spark, folder, "orders").selectExpr(
-        *[f"{sql} AS `{name}`" for name, sql in BID_FIELDS.items()], "o_custkey"
+def bid_documents(
+    spark: SparkSession, folder: str, out: str | None = None, which: str = "true", more: str = "", device: str = ""
+) -> str:
+    """Write one bid request per order as multi-line JSON arrays.
+
+    ``which`` picks orders; ``more`` and ``device`` are further fields of a request and of its device.
+    """
+    out = out or f"{new_shared_folder(spark, 'bids')}/incoming"
+    fields = load_table(spark, folder, "orders").where(which).selectExpr(
+        *[f"{sql} AS `{name}`" for name, sql in BID_FIELDS.items()], "o_custkey", "o_orderkey"
     )
     bids = fields.selectExpr(
-        """to_json(struct(
-               id,
-               struct(os, ua, struct(country) AS geo) AS device,
+        f"""to_json(struct(
+               id, {more}
+               struct(os, ua, {device} struct(country) AS geo) AS device,
                CASE WHEN n_imp = 0 THEN NULL ELSE transform(sequence(1, n_imp), i -> struct(
                    concat(id, '-', i) AS id,
                    CAST(o_custkey % 500 + i AS DOUBLE) / 4 AS bidfloor,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fieldmill.functions.text import quoted
+
 
 def read_json(
     spark: SparkSession,
@@ -48,29 +50,17 @@ def write_documents(
 ) -> None:
     """Write one string column as multi-line documents: ``head``, comma-separated rows, ``foot``.
 
-    Each task streams its own rows into files of at most ``rows_per_document`` rows, every file a
-    complete document. Rows are not shuffled or gathered, and no file grows with the data.
+    Each task's rows are numbered and every ``rows_per_document`` of them are put together into one document,
+    a file of its own. So no document grows with the data, and all of it stays in the JVM.
     """
-
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        in_document = 0
-        for batch in batches:
-            out: list[str] = []
-            for text in batch.iloc[:, 0]:
-                if in_document == rows_per_document:
-                    out.append(foot)
-                    in_document = 0
-                if in_document == 0:
-                    out.append(head)
-                out.append(text if in_document == 0 else "," + text)
-                in_document += 1
-            yield pd.DataFrame({"value": out})
-        if in_document:
-            yield pd.DataFrame({"value": [foot]})
-
+    number = F.monotonically_increasing_id()
+    rows = df.select(F.col(quoted(df.columns[0])).alias("row"), number.alias("number"))
+    task, place = F.shiftright("number", 33), F.col("number").bitwiseAND((1 << 33) - 1)
+    documents = rows.groupBy(task.alias("task"), F.floor(place / rows_per_document).alias("part")).agg(
+        F.array_join(F.collect_list("row"), "\n,").alias("rows")
+    )
     (
-        df.select(df.columns[0])
-        .mapInPandas(lines, "value string")
-        .write.option("maxRecordsPerFile", rows_per_document + 2)
+        documents.select(F.concat(F.lit(head + "\n"), "rows", F.lit("\n" + foot)))
+        .write.option("maxRecordsPerFile", 1)
         .text(path)
     )

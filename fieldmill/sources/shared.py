@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,7 @@ def new_shared_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.gettempdir()
     folder = f"{root.rstrip('/')}/fieldmill-{label}-{uuid.uuid4().hex}"

@@ -1,4 +1,10 @@
-from fieldmill.streaming.files import run_available, start_available, stream_json, stream_parquet
+from fieldmill.streaming.files import (
+    run_available,
+    start_available,
+    stored_schema,
+    stream_json,
+    stream_parquet,
+)
 from fieldmill.streaming.medallion import (
     gold,
     in_view_flag,
@@ -15,6 +21,7 @@ __all__ = [
     "silver_imp",
     "silver_site",
     "start_available",
+    "stored_schema",
     "stream_json",
     "stream_parquet",
 ]

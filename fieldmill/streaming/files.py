@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -27,15 +28,25 @@ def stream_json(
     return reader.options(**options).json(folder)
 
 
+def stored_schema(spark: SparkSession, folder: str, empty: StructType | str) -> StructType | str:
+    """The columns of all Parquet files in ``folder``, those of later files included; ``empty`` without files."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(folder).schema
+    except AnalysisException as error:
+        if "unable to infer schema" not in str(error).lower():
+            raise
+        return empty
+
+
 def stream_parquet(
     spark: SparkSession, folder: str, schema: StructType | str | None = None, **options: str
 ) -> DataFrame:
     """Stream a table that another stream wrote to ``folder``.
 
-    Without a schema the one of the stored files is taken; an empty table has none.
+    Without a schema the one of all stored files is taken; an empty table has none.
     """
     if schema is None:
-        schema = spark.read.parquet(folder).schema
+        schema = spark.read.option("mergeSchema", "true").parquet(folder).schema
     return spark.readStream.schema(schema).options(**options).parquet(folder)
 
 
@@ -61,6 +72,7 @@ def start_available(
 def run_available(
     df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """:func:`start_available`, wait for the end, and return the stored table."""
+    """:func:`start_available`, wait for the end, and return the stored table with the columns of all runs."""
     start_available(df, path, checkpoint, partition_by).awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    return spark.read.schema(stored_schema(spark, path, df.schema)).parquet(path)

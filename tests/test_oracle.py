@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from check_queries import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from fieldmill.plans.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,13 +16,13 @@ def database():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, database, name):
     assert compare(spark, database, name, FOLDER) == ""
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 def test_entry(spark):

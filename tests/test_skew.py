@@ -75,20 +75,30 @@ def test_lookups_split_the_heavy_key(spark, skewed, small_limits):
     assert looked_up.where("k > 499 and city is not null").count() == 0
 
 
-def test_heavy_right_side_is_dealt_out(spark, skewed, small_limits):
+def test_a_heavy_right_side_is_split(spark, skewed, small_limits):
     bids = spark.range(0, 1200).select(F.col("id").alias("bid"), F.concat(F.lit("os"), "id").alias("os"))
-    joined = op.left_join_many(bids, skewed, "bid", "k", heavy_rows=2_000)
-    plain = bids.join(skewed, bids.bid == skewed.k, "left")
+    bids = bids.union(spark.createDataFrame([(None, "no id"), (None, "no id")], "bid bigint, os string"))
+    many = skewed.union(skewed.limit(50).withColumn("k", F.lit(None).cast("bigint")))
+    joined = op.left_join_many(bids, many, "bid", "k")
+    assert "skew=true" in executed_plan(joined)
+    plain = bids.join(many, bids.bid == many.k, "left")
     assert joined.count() == plain.count()
     assert op.frame_difference(joined, plain).count() == 0
-    # No task holds a third of the rows.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
 
-    def largest_task(frame):
-        return frame.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
-    assert largest_task(plain) >= N // 3
-    assert largest_task(joined) < N / 5
+def test_sorts_spread_rows_that_are_equal(spark, skewed):
+    from fieldmill.plans import births
+
+    winners = skewed.select(
+        F.lit("ann").alias("first_name_clean"), F.lit(7).alias("count"), F.lit("2007").alias("year"), "v"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for ordered in (op.order_split(winners, "year", "first_name_clean"), births.top_names(winners)):
+        parts = ordered.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert parts < N / 2
+    winners.withColumn("sid", F.monotonically_increasing_id()).createOrReplaceTempView("skewed_births")
+    ordered = births.top_names_sql(spark, "skewed_births")
+    assert ordered.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < N / 2
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 

@@ -54,11 +54,28 @@ def drop_file(folder, name, records):
 
 
 def run_all(spark, incoming, tables):
-    bronze = bids.update_bronze(spark, str(incoming), tables)
-    silver = bids.update_silver(spark, tables)
+    bronze = bids.update_bronze(spark, str(incoming), tables, bids.BID_SCHEMA)
+    silver = bids.update_silver(spark, tables, schema=bids.BID_SCHEMA)
     return bronze, silver
 
 
+def test_bronze_keeps_every_field_and_takes_up_new_ones(spark, stage):
+    incoming, tables = stage
+    drop_file(incoming, "one.json", FIRST)
+    bids.update_bronze(spark, str(incoming), tables)
+    first = bids.update_silver(spark, tables, ["device"])["device"]
+    assert "device_model" not in first.columns
+    later = bid(9, 1)
+    later["at"], later["device"]["model"], later["device"]["geo"]["city"] = 7, "m", "Ulm"
+    drop_file(incoming, "two.json", [later])
+    bronze = bids.update_bronze(spark, str(incoming), tables)
+    silver = bids.update_silver(spark, tables, ["device"])["device"]
+    kept = {r["id"]: (r["at"], r["model"], r["city"]) for r in bronze.select("id", "at", "device.model", "device.geo.city").collect()}
+    assert kept == {"b1": (None,) * 3, "b2": (None,) * 3, "b3": (None,) * 3, "b9": (7, "m", "Ulm")}
+    models = {r["device_auction_id"]: (r["device_model"], r["device_city"]) for r in silver.collect()}
+    assert models == {"b1": (None, None), "b2": (None, None), "b3": (None, None), "b9": ("m", "Ulm")}
+
+
 def test_each_run_takes_only_new_files(spark, stage):
     incoming, tables = stage
     drop_file(incoming, "one.json", FIRST)
