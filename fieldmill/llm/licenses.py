@@ -1,8 +1,8 @@
 """License notices in documents: winnowed fingerprints pick candidates, banded alignment confirms them.
 
-Templates and documents are fingerprinted alike: of every ``WINNOW`` successive hashes of ``GRAM`` words the smallest is
-kept, so any ``GRAM + WINNOW - 1`` words in common share a fingerprint. An inverted index of the templates'
-fingerprints yields, for each document, templates and the offsets at which they may lie. Around each such offset the
+Of every ``WINNOW`` successive hashes of ``GRAM`` template words the smallest is kept as a fingerprint, so any
+``GRAM + WINNOW - 1`` words of a template hold one. An inverted index of the fingerprints, asked for every run of
+``GRAM`` words of a document, yields templates and the offsets at which they may lie. Around each such offset the
 template is aligned with the document's words in a band, and what covers enough of the template is reported.
 """
 
@@ -20,6 +20,7 @@ from fieldmill.llm.words import ALPHANUMERIC, LOWER, Words, find_words, text_sli
 
 GRAM, WINNOW, BAND, COVERAGE = 3, 3, 6, 0.8
 MOST_TEMPLATE_WORDS = 1_000_000
+_FILTER_BITS = 20
 
 #: Fixed texts: short notices as licenses ask for them.
 TEMPLATES = {
@@ -74,11 +75,15 @@ def fingerprints(words: Words, gram: int = GRAM, winnow: int = WINNOW) -> tuple[
 
 @dataclass
 class TemplateIndex:
-    """The templates' words, and their fingerprints with the places where they lie."""
+    """The templates' words, and their fingerprints with the places where they lie.
+
+    ``seen`` flags the first bits of the fingerprints, to pass over most words of a document quickly.
+    """
 
     names: list[str]
     words: list[list[int]]
     hashes: np.ndarray
+    seen: np.ndarray
     places: dict[int, list[tuple[int, int]]]
 
     @classmethod
@@ -95,7 +100,12 @@ class TemplateIndex:
                 places.setdefault(h, []).append((low + row, i - int(words.first[row])))
         if sum(map(len, own)) > MOST_TEMPLATE_WORDS:
             raise ValueError(f"the templates have more than {MOST_TEMPLATE_WORDS} words")
-        return cls(names, own, np.array(sorted(places), np.uint64), places)
+        if short := [name for name, words in zip(names, own) if len(words) < GRAM]:
+            raise ValueError(f"templates of fewer than {GRAM} words: {short}")
+        known = np.array(sorted(places), np.uint64)
+        seen = np.zeros(1 << _FILTER_BITS, bool)
+        seen[known >> np.uint64(64 - _FILTER_BITS)] = True
+        return cls(names, own, known, seen, places)
 
 
 def banded_alignment(template: list[int], words: list[int], offset: int, band: int = BAND) -> tuple[int, int, int]:
@@ -128,9 +138,11 @@ def banded_alignment(template: list[int], words: list[int], offset: int, band: i
 
 def _matches(words: Words, index: TemplateIndex, band: int, coverage: float) -> list[list[dict]]:
     """The accepted matches of each row, by place."""
-    at, hashes = fingerprints(words)
-    place = np.minimum(np.searchsorted(index.hashes, hashes), max(len(index.hashes) - 1, 0))
-    hit = np.flatnonzero(index.hashes[place] == hashes) if len(index.hashes) else np.empty(0, np.int64)
+    at, hashes = words.windows(GRAM)
+    shift = np.uint64(64 - _FILTER_BITS)
+    hit = np.flatnonzero(index.seen[hashes >> shift])
+    place = np.minimum(np.searchsorted(index.hashes, hashes[hit]), max(len(index.hashes) - 1, 0))
+    hit = hit[index.hashes[place] == hashes[hit]]
     offsets: dict[tuple[int, int], set[int]] = {}
     rows = np.searchsorted(words.first, at[hit], side="right") - 1
     for i, h, row in zip(at[hit].tolist(), hashes[hit].tolist(), rows.tolist()):
@@ -187,7 +199,7 @@ def scan_licenses(
     A match names the template (``license``), how many of its words are ``matched`` in order, the share of them
     (``coverage``) and the span of words of the text. Words are lower-cased runs of letters and digits. Null and empty
     texts match nothing; repeated notices and rows are reported each; columns of ``docs`` may have any names. The
-    templates go to every task and are refused beyond a million words.
+    templates go to every task and are refused beyond a million words, or below three.
     """
     index = TemplateIndex.of(TEMPLATES if templates is None else templates)
     shipped = docs.sparkSession.sparkContext.broadcast(index)
