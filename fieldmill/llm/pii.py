@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from fieldmill.llm.storage import step
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("secret", "name")
+#: ``*_part`` finds numbers in their usual grouping where a base match runs on into what follows and so fails its rule.
+ADDED_KINDS = ("card_part", "phone_part", "secret", "name")
 LABELERS = ("form", "known", "context", "edges", "content")
 
 # In the patterns below ``(?:(?<![set])|\G)`` starts a match only where a run of the set starts, or where the match
@@ -33,11 +34,13 @@ _PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+    "card_part": r"(?<![0-9])(?:[0-9]{16,19}+|[0-9]{4}(?:([ -])[0-9]{4})(?:\1[0-9]{4}){2})(?![0-9])",
+    "phone_part": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
     "secret": r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_-]{8,200}+[\"']?",
     "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30})?\b",
 }
 #: A text without this can't hold the kind.
-_NEEDS = {"email": "%@%.%", "ip": "%.%.%.%", "card": None, "phone": "%+%", "secret": None, "name": None}
+_NEEDS = {"email": "%@%.%", "ip": "%.%.%.%", "card": None, "phone": "%+%", "card_part": None, "phone_part": "%+%", "secret": None, "name": None}
 
 #: Words before a span that speak for it.
 _CUES = {
@@ -114,17 +117,18 @@ def _placed(kind: str) -> Column:
 
 def _voted(kind: str) -> Column:
     """The matches that pass the kind's rule, with one vote (1, -1, or 0 to abstain) of each labeler."""
+    base = _base_of(kind)
     before = f"substr(text, greatest(m.start + 1 - {_BEFORE}, 1), least(m.start, {_BEFORE}))"
-    cue = _quoted(rf"(?i)\b(?:{_CUES[kind]})s?\b[^A-Za-z0-9]{{0,3}}(?:[A-Za-z]+[^A-Za-z0-9]{{1,3}}){{0,2}}$")
+    cue = _quoted(rf"(?i)\b(?:{_CUES[base]})s?\b[^A-Za-z0-9]{{0,3}}(?:[A-Za-z]+[^A-Za-z0-9]{{1,3}}){{0,2}}$")
     inside = _quoted(r"[A-Za-z0-9]$"), _quoted(r"^[A-Za-z0-9]")
     return F.expr(
-        f"""transform(filter(at_{kind}, m -> {_RULES[kind]}), m -> struct(
+        f"""transform(filter(at_{kind}, m -> {_RULES[base]}), m -> struct(
             '{kind}' as kind, m.start as start, m.end as end,
-            if(m.value rlike {_quoted(_FORM[kind])}, 1, -1) as form,
-            if(m.value rlike {_quoted(_KNOWN[kind])}, 1, 0) as known,
+            if(m.value rlike {_quoted(_FORM[base])}, 1, -1) as form,
+            if(m.value rlike {_quoted(_KNOWN[base])}, 1, 0) as known,
             if({before} rlike {cue}, 1, 0) as context,
             if({before} rlike {inside[0]} or substr(text, m.end + 1, 1) rlike {inside[1]}, -1, 1) as edges,
-            if({_CONTENT[kind]}, 1, -1) as content))"""
+            if({_CONTENT[base]}, 1, -1) as content))"""
     )
 
 
@@ -132,7 +136,7 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
     """The columns ``keep`` as the struct ``doc``, and ``spans``: candidates of every kind with their votes.
 
     Places count code points, ends are exclusive. A null text is empty and has no spans. Every kind is matched leftmost
-    and without overlaps over the whole text; kinds don't see each other.
+    and without overlaps over the whole text; base kinds don't see each other, added spans inside a base span are dropped.
     """
     kinds = (*BASE_KINDS, *ADDED_KINDS)
     rows = docs.select(
@@ -154,7 +158,17 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
         "*", *[F.when(F.size(f"found_{k}") > 0, F.split("text", _PATTERNS[k], -1)).otherwise(none).alias(f"gaps_{k}") for k in kinds]
     )
     rows = rows.select("doc", "text", *[_placed(k).alias(f"at_{k}") for k in kinds])
-    return rows.select("doc", F.concat(*[_voted(k) for k in kinds]).alias("spans"))
+    rows = rows.select(
+        "doc",
+        F.concat(*[_voted(k) for k in BASE_KINDS]).alias("base"),
+        F.concat(*[_voted(k) for k in ADDED_KINDS]).alias("added"),
+    )
+    new = F.expr("filter(added, s -> not exists(base, b -> b.start <= s.start and s.end <= b.end))")
+    return rows.select("doc", F.concat("base", new).alias("spans"))
+
+
+def _base_of(kind: str) -> str:
+    return kind.removesuffix("_part")
 
 
 @dataclass
@@ -271,7 +285,7 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
     pieces = F.expr(
         """concat_ws('', transform(merged, (s, i) -> concat(
             substr(text, if(i = 0, 1, get(merged, i - 1).end + 1), s.start - if(i = 0, 0, get(merged, i - 1).end)),
-            '[', upper(s.kind), ']')), substr(text, element_at(merged, -1).end + 1))"""
+            '[', upper(replace(s.kind, '_part', '')), ']')), substr(text, element_at(merged, -1).end + 1))"""
     )
     rows = found.select("doc", text.alias("text"), merged.alias("merged"))
     rows = rows.select("doc", F.when(F.size("merged") > 0, pieces).otherwise(F.col("text")).alias("text"))
