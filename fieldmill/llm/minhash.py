@@ -229,16 +229,22 @@ def _third_texts(compared: DataFrame, open_pairs: DataFrame, similar: float) ->
 
     Similar texts x and y share at least ``t (w(x) + w(y))`` of their weights, ``t = similar / (1 + similar)``. What both
     share with the hub bounds what they can share inside it; so either they share a shingle outside it, or the
-    hub holds enough of both, and then their weights are as the two conditions on weights say.
+    hub holds enough of both, and then their weights are as the conditions on weights say (of two texts of
+    which the hub holds less than ``2 t`` neither can be the lighter one).
     """
     t = similar / (1 + similar)
     hubs = open_pairs.select(F.col("hub").alias("b")).distinct()
-    group = compared.join(hubs, "b").select("b", "a", "weight", "inside", "outside")
-    unlike = group.join(open_pairs.select(F.col("node").alias("a"), F.col("hub").alias("b")), ["a", "b"], "left_semi")
+    still_open = open_pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"), F.lit(True).alias("open"))
+    group = compared.join(hubs, "b").join(still_open, ["a", "b"], "left")
+    group = group.select("b", "a", "weight", "inside", "outside", F.coalesce("open", F.lit(False)).alias("open"))
+    unlike = group.filter("open")
     left = unlike.select("b", F.col("a").alias("x"), F.explode("outside").alias("shingle"))
-    right = group.select("b", F.col("a").alias("y"), F.explode("outside").alias("shingle"))
-    outside = left.join(right, ["b", "shingle"]).filter("x <> y").select("x", "y")
-    x = unlike.filter(F.col("inside") >= similar).select("b", F.col("a").alias("x"), F.col("weight").alias("wx"), F.col("inside").alias("fx"))
+    right = group.select("b", "open", F.col("a").alias("y"), F.explode("outside").alias("shingle"))
+    outside = left.join(right, ["b", "shingle"]).filter("x < y or (x > y and not open)").select("x", "y")
+    lightest = group.filter(F.col("inside") >= 2 * t).groupBy("b").agg(F.min("weight").alias("least"))
+    reach = (F.col("inside") / t - 1) * F.col("weight")
+    unlike = unlike.filter(F.col("inside") >= similar).join(lightest, "b", "left")
+    x = unlike.filter((F.col("inside") >= 2 * t) | (F.col("least") <= reach)).select("b", F.col("a").alias("x"), F.col("weight").alias("wx"), F.col("inside").alias("fx"))
     y = group.filter(F.col("inside") >= similar).select("b", F.col("a").alias("y"), F.col("weight").alias("wy"), F.col("inside").alias("fy"))
     both = t * (F.col("wx") + F.col("wy"))
     inside = (
@@ -263,13 +269,31 @@ def _common_hubs(members: DataFrame, hubs: DataFrame) -> DataFrame:
     return larger.union(hubs.filter("n = 2").select("band", "top", "n"))
 
 
+def _central_texts(compared: DataFrame) -> DataFrame:
+    """``(hub, central)`` for hubs of three or more texts of which some are unlike it.
+
+    Shingles outside the hub that a quarter of its group has are common to the group; central is the text that
+    consists of common shingles and the hub's own most.
+    """
+    sizes = compared.groupBy("b").agg(F.count("*").alias("size"), F.count_if(~F.col("linked")).alias("open"))
+    group = compared.join(sizes.filter("size > 2 and open > 0"), "b")
+    outside = group.select("b", "a", "size", F.explode("outside").alias("shingle"))
+    counts = outside.groupBy("b", "shingle").agg(F.count("*").alias("n"), F.first("size").alias("size"))
+    common = counts.filter(F.col("n") * 4 >= F.col("size")).select("b", "shingle")
+    held = outside.join(common, ["b", "shingle"]).groupBy("b", "a").agg(F.count("*").alias("held"))
+    share = F.coalesce("held", F.lit(0)) / F.greatest(F.size("outside"), F.lit(1))
+    scored = group.join(held, ["b", "a"], "left").withColumn("score", F.col("inside") + share * (1 - F.col("inside")))
+    return scored.groupBy(F.col("b").alias("hub")).agg(F.max(F.struct("score", "a")).alias("top")).select("hub", F.col("top.a").alias("central"))
+
+
 def linked_nodes(
     members: DataFrame, texts: DataFrame, shipped, size: int = SHINGLE, similar: float = SIMILAR, rounds: int = STAR_ROUNDS
 ) -> DataFrame:
     """Verified links ``(u, v)`` among ``members(band, node)``; ``texts`` has ``(node, text)``.
 
-    Every member of a bucket is compared with its hub, a text that meets most others; those unlike it with the hub of
-    the rest, for ``rounds`` rounds. A text that is open then is compared with every text of its first hub that it
+    Every member of a bucket is compared with its hub, a text that meets most others, and where some are unlike it,
+    with the most central text of the hub's group, which takes the hub's place; what is open still with the
+    hub of the rest, for ``rounds`` rounds. A text that is open then is compared with every text of its first hub that it
     could be similar to at all: those with which it shares one of a few shingles outside the hub, or that the hub
     holds as largely as itself. No pair that can link an open text is left out. Two groups that each have a hub are
     joined where a hub or an open text links them.
@@ -289,9 +313,21 @@ def linked_nodes(
         judged = step(_compared(pairs, texts, shipped, size, similar), "pairs")
         own = judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = own if links is None else links.union(own)
-        compared = judged if compared is None else compared
         unlike = judged.filter("not linked").select(F.col("a").alias("node"), F.col("b").alias("hub"))
-        rest = step(met.join(unlike, ["node", "hub"]).select("band", "node", "degree", "first"), "rest")
+        rest = met.join(unlike, ["node", "hub"]).select("band", "node", "degree", "first")
+        if k == 0:
+            central = step(_central_texts(judged), "central")
+            group = judged.select(F.col("b").alias("hub"), "a").union(judged.select(F.col("b").alias("hub"), F.col("b").alias("a")))
+            again = group.join(central, "hub").filter("a <> central").select("a", F.col("central").alias("b")).distinct()
+            second = step(_compared(again, texts, shipped, size, similar), "pairs")
+            links = links.union(second.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
+            alone = judged.join(central, judged["b"] == central["hub"], "left_anti")
+            compared = alone.union(second)
+            renamed = rest.join(central, rest["first"] == central["hub"], "left")
+            rest = renamed.select("band", "node", "degree", F.coalesce("central", "first").alias("first"))
+            near = second.filter("linked").select(F.col("a").alias("node"), F.col("b").alias("first"))
+            rest = rest.join(near, ["node", "first"], "left_anti").filter("node <> first").select("band", "node", "degree", "first")
+        rest = step(rest, "rest")
     open_pairs = rest.select("node", F.col("first").alias("hub")).distinct()
     judged = step(_compared(_third_texts(compared, open_pairs, similar), texts, shipped, size, similar), "open")
     return links.union(judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))

@@ -6,7 +6,7 @@ import gc
 
 from pyspark.sql import DataFrame
 
-from fieldmill.sources.shared import stored
+from fieldmill.sources.shared import new_shared_folder
 
 
 def step(df: DataFrame, label: str) -> DataFrame:
@@ -17,7 +17,9 @@ def step(df: DataFrame, label: str) -> DataFrame:
     the JVM see what Python has dropped, the second collects it.
     """
     spark = df.sparkSession
-    table = stored(df, label)
+    path, schema = f"{new_shared_folder(spark, label)}/table", df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    table = spark.read.schema(schema).parquet(path)
     del df
     for _ in range(2):
         gc.collect()

@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmill.llm.storage import step
-from fieldmill.llm.words import UNSPACED, Words, as_signed, find_words, text_slices
+from fieldmill.llm.words import UNSPACED, Words, as_signed, find_words, mix, text_slices
 
 WINDOW, SEED = 13, 5
-_HIGH = np.uint64(0xFFFFFFFF00000000)
+_HALF = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -75,7 +75,7 @@ def _seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterato
 
 
 def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """A row for each candidate window: its hash, and halves of the hashes of the windows before and after it."""
+    """A row for each candidate window: its hash, and a short hash of the windows before and after it."""
     for batch in batches:
         runs = batch.column(3)
         run_first, run_values = runs.offsets.to_numpy(), runs.values.to_numpy()
@@ -104,9 +104,9 @@ def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
                     batch.column(1).take(take),
                     as_signed(edge[pick]),
                     pa.array(pick - words.first[row], pa.int64()).cast(pa.int32()),
-                    as_signed((before[pick] & _HIGH) | (after[pick] >> np.uint64(32))),
+                    pa.array(mix(before[pick] ^ (after[pick] * _HALF)).astype(np.uint32).view(np.int32)),
                 ],
-                ["doc", "uid", "edge", "pos", "around"],
+                ["doc", "variant", "edge", "pos", "around"],
             )
 
 
@@ -171,7 +171,10 @@ def copies(rows: DataFrame) -> DataFrame:
 
 
 def candidate_texts(rows: DataFrame, copied: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """``(doc, uid, text, runs)``: texts with windows whose seed occurs in two documents, and where; no copies."""
+    """``(doc, variant, uid, text, runs)``: texts with windows whose seed occurs in two documents, and where; no copies.
+
+    Different texts of one id are told apart by ``variant``; of repeated rows one is taken.
+    """
     kind = rows.schema["doc"].dataType.simpleString()
     seeds = (
         rows.filter(F.col("doc").isNotNull() & F.col("text").isNotNull())
@@ -180,17 +183,21 @@ def candidate_texts(rows: DataFrame, copied: DataFrame, window: int = WINDOW, se
     )
     shared = seeds.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a <> b").select("seed")
     runs = seeds.join(shared, "seed").groupBy("doc").agg(F.collect_list("run").alias("runs"))
-    return rows.join(runs, "doc").join(copied.select("uid"), "uid", "left_anti").select("doc", "uid", "text", "runs")
+    texts = rows.join(runs, "doc")
+    order = Window.partitionBy("doc").orderBy("uid")
+    numbered = texts.withColumn("variant", F.dense_rank().over(order)).withColumn("before", F.lag("uid").over(order))
+    single = numbered.filter("before is null or before <> uid")
+    return single.join(copied.select("uid"), "uid", "left_anti").select("doc", "variant", "uid", "text", "runs")
 
 
 def repeated_paths(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Paths of repeated windows in ``candidate_texts``: ``(doc, uid, start, n, source, source_start)``.
+    """Paths of repeated windows in ``candidate_texts``: ``(doc, variant, start, n, source, source_start)``.
 
     ``start`` and ``n`` count words; the same ``n`` words begin at ``source_start`` of the source, which has a smaller id.
     """
     kind = texts.schema["doc"].dataType.simpleString()
-    edges = texts.select("doc", "uid", "text", "runs").mapInArrow(
-        lambda batches: _edges(batches, window), f"doc {kind}, uid long, edge long, pos int, around long"
+    edges = texts.select("doc", "variant", "text", "runs").mapInArrow(
+        lambda batches: _edges(batches, window), f"doc {kind}, variant int, edge long, pos int, around int"
     )
     known = edges.groupBy("edge").agg(
         F.min(F.struct("doc", "pos")).alias("source"),
@@ -202,13 +209,12 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW) -> DataFrame:
         "edge", "source", (F.col("least") != F.col("most")).alias("branches")
     )
     later = (
-        edges.select("doc", "uid", "edge", "pos")
+        edges.select("doc", "variant", "edge", "pos")
         .join(known, "edge")
         .filter(F.col("source.doc") < F.col("doc"))
-        .select("doc", "uid", "pos", "source", "branches")
-        .dropDuplicates(["uid", "pos"])
+        .select("doc", "variant", "pos", "source", "branches")
     )
-    order = Window.partitionBy("uid").orderBy("pos")
+    order = Window.partitionBy("doc", "variant").orderBy("pos")
     previous = F.lag(F.struct("pos", "source", "branches")).over(order)
     goes_on = (
         (previous["pos"] == F.col("pos") - 1)
@@ -220,15 +226,14 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     return (
         later.withColumn("new", F.when(goes_on, 0).otherwise(1))
         .withColumn("path", F.sum("new").over(order))
-        .groupBy("uid", "path")
+        .groupBy("doc", "variant", "path")
         .agg(
-            F.first("doc").alias("doc"),
             F.min("pos").alias("start"),
             (F.count("*") + window - 1).cast("int").alias("n"),
             F.min("source").alias("source"),
         )
         .select(
-            "doc", "uid", "start", "n", F.col("source.doc").alias("source"), F.col("source.pos").alias("source_start")
+            "doc", "variant", "start", "n", F.col("source.doc").alias("source"), F.col("source.pos").alias("source_start")
         )
     )
 
@@ -240,18 +245,18 @@ def verified(paths: DataFrame, texts: DataFrame) -> DataFrame:
         paths.select(F.col("source").alias("doc"), F.struct(F.col("source_start").alias("start"), "n").alias("span"))
     )
     asked = places.groupBy("doc").agg(F.collect_set("span").alias("spans"))
-    digests = texts.select("doc", "uid", "text").join(asked, "doc").select(
-        F.struct("doc", "uid").alias("key"), "text", "spans"
+    digests = texts.select("doc", "variant", "uid", "text").join(asked, "doc").select(
+        F.struct("doc", "variant", "uid").alias("key"), "text", "spans"
+    )
+    digests = digests.mapInArrow(
+        _digests, f"key struct<doc:{kind},variant:int,uid:bigint>, start int, n int, digest binary"
     )
-    digests = digests.mapInArrow(_digests, f"key struct<doc:{kind},uid:bigint>, start int, n int, digest binary")
-    digests = step(digests.select("key.doc", "key.uid", "start", "n", "digest").distinct(), "digests")
-    own = digests.drop("doc")
-    source = digests.select(F.col("doc").alias("source"), F.col("start").alias("source_start"), "n", "digest")
+    digests = step(digests.select("key.*", "start", "n", "digest"), "digests")
+    source = digests.select(F.col("doc").alias("source"), F.col("start").alias("source_start"), "n", "digest").distinct()
     return (
-        paths.join(own, ["uid", "start", "n"])
+        paths.join(digests, ["doc", "variant", "start", "n"])
         .join(source, ["source", "source_start", "n", "digest"])
         .select("doc", "uid", "start", "n", "source", "source_start")
-        .distinct()
     )
 
 
