@@ -10,6 +10,7 @@ time, packs those, and goes on, so its memory doesn't grow with the input.
 
 from __future__ import annotations
 
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 WINDOW, END_ID = 2048, 1
 BUFFER_TOKENS = 16_000_000
 _CACHED_WORDS = 300_000
+#: Signs after letters; no apostrophe and no `<`, which may begin a special piece.
+_SIGNS = ".,;:!?*%$&#)]}\""
 _PIECE = "piece_start long, piece_length long, doc_tokens long, sequence_id long, sequence_offset long, ids array<int>"
 
 
@@ -73,11 +76,23 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> list[tuple[
     return places
 
 
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next from 256 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
+
 class WordTokens:
     """Token ids of texts by a tokenizer that works word by word.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its parts between
-    spaces and line ends. The ids of parts seen lately are kept (as bytes), two generations of a fixed size.
+    The tokenizer drops white space, lower-cases, and never joins across white space or between letters and the
+    signs after them. So a text's ids are those of its parts between spaces and line ends, and the ids of a part of
+    letters and signs are those of the lower-cased letters and of the signs. The ids of parts and of pieces of parts
+    seen lately are kept (as bytes), two generations of a fixed size each.
     """
 
     def __init__(self, path: str):
@@ -86,18 +101,42 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
+        self.older_pieces: dict[str, bytes] = {}
+
+    def _encode(self, pieces: set[str], whole: set[str]) -> None:
+        """Learn ``pieces``, each of letters or of signs only and so one word to the model, and any other text, ``whole``."""
+        known, older, tokenize = self.pieces, self.older_pieces, self.tokenizer.model.tokenize
+        for piece in pieces - known.keys():
+            if (ids := older.get(piece)) is None:
+                shown = piece
+                if not piece.isascii():
+                    shown = "".join([_BYTE_CHARACTERS[b] for b in unicodedata.normalize("NFC", piece).encode()])
+                ids = array("i", [token.id for token in tokenize(shown)]).tobytes()
+            known[piece] = ids
+        missing = list(whole - known.keys())
+        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        known.update((piece, array("i", own.ids).tobytes()) for piece, own in zip(missing, found))
 
     def _learn(self, parts: list[list[str]]) -> None:
         if len(self.known) > _CACHED_WORDS:
             self.known, self.older = {}, self.known
-        missing = []
+        if len(self.pieces) > _CACHED_WORDS:
+            self.pieces, self.older_pieces = {"": b""}, self.pieces
+        split, whole = [], []
         for part in set().union(*parts) - self.known.keys():
             if (ids := self.older.get(part)) is None:
-                missing.append(part)
+                letters = part.rstrip(_SIGNS)
+                if letters.isalpha() and "\u03a3" not in letters and "\u0130" not in letters:
+                    split.append((part, letters.lower(), part[len(letters) :]))
+                else:
+                    whole.append(part)
             else:
                 self.known[part] = ids
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.known.update((part, array("i", own.ids).tobytes()) for part, own in zip(missing, found))
+        self._encode({letters for _, letters, _ in split} | {signs for _, _, signs in split}, set(whole))
+        ids = self.pieces
+        self.known.update((part, ids[letters] + ids[signs]) for part, letters, signs in split)
+        self.known.update((part, ids[part]) for part in whole)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         parts = [text.replace("\n", " ").split(" ") for text in texts]
