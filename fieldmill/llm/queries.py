@@ -9,11 +9,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmill.llm import decontaminate, embeddings, langid, licenses, minhash, packing, pii, substrings, toxicity, urls
+from fieldmill.llm import (
+    decontaminate,
+    embeddings,
+    langid,
+    licenses,
+    minhash,
+    oracles,
+    packing,
+    pii,
+    substrings,
+    toxicity,
+    urls,
+)
 from fieldmill.llm.shipping import ship
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_embedding_near_dedup": oracles.NEAR_VECTORS,
+    "op7_decontaminate": oracles.DECONTAMINATE,
+    "op9_substring_dedup": oracles.SUBSTRING_DEDUP,
+}
 
 
 def _query(function):

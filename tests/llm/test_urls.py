@@ -3,9 +3,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from check_queries import compare, connect
-
-from fieldmill.llm import queries, urls
+from fieldmill.llm import urls
 
 CASES = [
     ("https://Blog.Example.NET/en/25#top", "blog.example.net", "/en/25", "example.net/en/", "allow"),
@@ -51,9 +49,3 @@ def test_rules_lie_under_their_rarest_token(spark):
     assert {r.name for r in index[""]} == {"adult", "tracker"}
     with pytest.raises(ValueError, match="pattern rules"):
         urls.token_index(pages, urls.PATTERN_RULES * 2000)
-
-
-def test_query_equals_its_sql(spark):
-    folder = "/root/testdata/sf0.001"
-    assert compare(spark, connect(folder), "op4_url_filter", folder) == ""
-    assert set(queries.ORACLES) == {"op4_url_filter"}
