@@ -293,7 +293,8 @@ def linked_nodes(
 
     Every member of a bucket is compared with its hub, a text that meets most others, and where some are unlike it,
     with the most central text of the hub's group, which takes the hub's place; what is open still with the
-    hub of the rest, for ``rounds`` rounds. A text that is open then is compared with every text of its first hub that it
+    hub of the rest, for ``rounds`` rounds. A text unlike its first hub that no later hub links, be it alone in its
+    bucket or a later hub itself, is compared with every text of its first hub that it
     could be similar to at all: those with which it shares one of a few shingles outside the hub, or that the hub
     holds as largely as itself. No pair that can link an open text is left out. Two groups that each have a hub are
     joined where a hub or an open text links them.
@@ -301,12 +302,12 @@ def linked_nodes(
     met_by = members.groupBy("band").agg(F.count("*").alias("n"))
     degrees = members.join(met_by, "band").groupBy("node").agg(F.sum("n").alias("degree"))
     rest = step(members.join(degrees, "node").withColumn("first", F.lit("")), "members")
-    links, compared = None, None
+    links, compared, open_pairs = None, None, None
     for k in range(rounds):
         hubs = rest.groupBy("band").agg(F.max(F.struct("degree", "node")).alias("top"), F.count("*").alias("n")).filter("n > 1")
         if k == 0:
             hubs = _common_hubs(rest, hubs)
-        met = rest.join(hubs.select("band", F.col("top.node").alias("hub")), "band").filter("node <> hub")
+        met = rest.join(hubs.select("band", F.col("top.node").alias("hub"), "n"), "band").filter("node <> hub")
         if k == 0:
             met = met.withColumn("first", F.col("hub"))
         pairs = met.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
@@ -314,7 +315,6 @@ def linked_nodes(
         own = judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = own if links is None else links.union(own)
         unlike = judged.filter("not linked").select(F.col("a").alias("node"), F.col("b").alias("hub"))
-        rest = met.join(unlike, ["node", "hub"]).select("band", "node", "degree", "first")
         if k == 0:
             central = step(_central_texts(judged), "central")
             group = judged.select(F.col("b").alias("hub"), "a").union(judged.select(F.col("b").alias("hub"), F.col("b").alias("a")))
@@ -323,12 +323,20 @@ def linked_nodes(
             links = links.union(second.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
             alone = judged.join(central, judged["b"] == central["hub"], "left_anti")
             compared = alone.union(second)
+            # of a bucket of two all is known
+            wide = met.filter("n > 2").select("node", "hub").distinct().join(central, "hub", "left")
+            wide = wide.select("node", F.coalesce("central", "hub").alias("hub")).distinct()
+            not_linked = compared.filter("not linked").select(F.col("a").alias("node"), F.col("b").alias("hub"))
+            open_pairs = step(wide.join(not_linked.distinct(), ["node", "hub"]), "open")
+        else:
+            open_pairs = open_pairs.join(own.select(F.col("u").alias("node")).distinct(), "node", "left_anti")
+        rest = met.join(unlike, ["node", "hub"]).select("band", "node", "degree", "first")
+        if k == 0:
             renamed = rest.join(central, rest["first"] == central["hub"], "left")
             rest = renamed.select("band", "node", "degree", F.coalesce("central", "first").alias("first"))
             near = second.filter("linked").select(F.col("a").alias("node"), F.col("b").alias("first"))
             rest = rest.join(near, ["node", "first"], "left_anti").filter("node <> first").select("band", "node", "degree", "first")
         rest = step(rest, "rest")
-    open_pairs = rest.select("node", F.col("first").alias("hub")).distinct()
     judged = step(_compared(_third_texts(compared, open_pairs, similar), texts, shipped, size, similar), "open")
     return links.union(judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
 

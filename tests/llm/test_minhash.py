@@ -93,3 +93,43 @@ def test_members_unlike_the_first_of_their_bucket_still_meet(spark):
         links = {tuple(r) for r in minhash.linked_nodes(members, nodes, ones, rounds=rounds).collect()}
         seen = {x for link in links for x in link}
         assert seen == {n for n, _ in texts[2:]}
+
+
+def revision(k, step, words=200):
+    """The k-th of a chain of revisions of one text, ``step`` more of its words changed in each."""
+    return " ".join(f"r{i}" if i % 5 == 2 and i // 5 < step * k else w for i, w in enumerate(prose(11, words, 99999).split()))
+
+
+def grouped(pairs):
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for u, v in pairs:
+        low, high = sorted((find(u), find(v)))
+        root[high] = low
+    return {x: find(x) for x in list(root)}
+
+
+def all_pairs(members, texts):
+    """Links of similarity 0.8 or more among the texts that share a band, every shingle weighing one."""
+    found = []
+    for band in {b for b, _ in members}:
+        own = [n for b, n in members if b == band]
+        for u, v in ((u, v) for u in own for v in own if u < v):
+            a, b = weighted(texts[u]), weighted(texts[v])
+            if 5 * sum((a & b).values()) >= 4 * sum((a | b).values()):
+                found.append((u, v))
+    return found
+
+
+def linked(spark, members, texts, rounds=minhash.STAR_ROUNDS):
+    nodes = spark.createDataFrame(sorted(texts.items()), "node string, text string")
+    ones = spark.sparkContext.broadcast(np.ones(1 << 18, np.float32))
+    banded = spark.createDataFrame(members, "band long, node string")
+    return [tuple(r) for r in minhash.linked_nodes(banded, nodes, ones, rounds=rounds).collect()]
+
+
+def test_a_text_alone_unlike_its_hub_meets_the_others(spark):
+    texts = {"z": revision(0, 4), "b": revision(1, 4), "a": revision(2, 4)}  # z links b, b links a
+    members = [(1, n) for n in texts]
+    assert grouped(all_pairs(members, texts)) == {"a": "a", "b": "a", "z": "a"}
+    assert grouped(linked(spark, members, texts)) == {"a": "a", "b": "a", "z": "a"}
