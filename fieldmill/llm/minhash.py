@@ -224,8 +224,10 @@ def _compared(pairs: DataFrame, texts: DataFrame, shipped, size: int, similar: f
     )
 
 
-def _third_texts(compared: DataFrame, open_pairs: DataFrame, similar: float) -> DataFrame:
-    """Pairs (a, b) of texts of one hub that may be similar, a being open (unlike its hubs).
+def _third_texts(compared: DataFrame, open_pairs: DataFrame, known: DataFrame, similar: float) -> DataFrame:
+    """Pairs (a, b) of texts of one hub that may be similar, one of them open (unlike the hub).
+
+    ``known`` has the ``component`` of each linked text ``a``; pairs within one are left out.
 
     Similar texts x and y share at least ``t (w(x) + w(y))`` of their weights, ``t = similar / (1 + similar)``. What both
     share with the hub bounds what they can share inside it; so either they share a shingle outside it, or the
@@ -236,20 +238,24 @@ def _third_texts(compared: DataFrame, open_pairs: DataFrame, similar: float) ->
     hubs = open_pairs.select(F.col("hub").alias("b")).distinct()
     still_open = open_pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"), F.lit(True).alias("open"))
     group = compared.join(hubs, "b").join(still_open, ["a", "b"], "left")
-    group = group.select("b", "a", "weight", "inside", "outside", F.coalesce("open", F.lit(False)).alias("open"))
+    group = group.join(known, "a", "left").select(
+        "b", "a", "weight", "inside", "outside", F.coalesce("open", F.lit(False)).alias("open"), F.coalesce("component", "a").alias("own")
+    )
+    several = group.groupBy("b").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low < high").select("b")
+    group = step(group.join(several, "b"), "groups")
     unlike = group.filter("open")
-    left = unlike.select("b", F.col("a").alias("x"), F.explode("outside").alias("shingle"))
-    right = group.select("b", "open", F.col("a").alias("y"), F.explode("outside").alias("shingle"))
-    outside = left.join(right, ["b", "shingle"]).filter("x < y or (x > y and not open)").select("x", "y")
+    left = unlike.select("b", F.col("a").alias("x"), F.col("own").alias("of_x"), F.explode("outside").alias("shingle"))
+    right = group.select("b", "open", F.col("a").alias("y"), F.col("own").alias("of_y"), F.explode("outside").alias("shingle"))
+    outside = left.join(right, ["b", "shingle"]).filter("of_x <> of_y and (x < y or not open)").select("x", "y")
     lightest = group.filter(F.col("inside") >= 2 * t).groupBy("b").agg(F.min("weight").alias("least"))
     reach = (F.col("inside") / t - 1) * F.col("weight")
     unlike = unlike.filter(F.col("inside") >= similar).join(lightest, "b", "left")
-    x = unlike.filter((F.col("inside") >= 2 * t) | (F.col("least") <= reach)).select("b", F.col("a").alias("x"), F.col("weight").alias("wx"), F.col("inside").alias("fx"))
-    y = group.filter(F.col("inside") >= similar).select("b", F.col("a").alias("y"), F.col("weight").alias("wy"), F.col("inside").alias("fy"))
+    x = unlike.filter((F.col("inside") >= 2 * t) | (F.col("least") <= reach)).select("b", F.col("a").alias("x"), F.col("own").alias("of_x"), F.col("weight").alias("wx"), F.col("inside").alias("fx"))
+    y = group.filter(F.col("inside") >= similar).select("b", F.col("a").alias("y"), F.col("own").alias("of_y"), F.col("weight").alias("wy"), F.col("inside").alias("fy"))
     both = t * (F.col("wx") + F.col("wy"))
     inside = (
         x.join(y, "b")
-        .filter("x <> y")
+        .filter("of_x <> of_y")
         .filter((F.col("wy") >= similar * F.col("wx")) & (F.col("wx") >= similar * F.col("wy")))
         .filter((F.col("fx") * F.col("wx") >= both) & (F.col("fy") * F.col("wy") >= both))
         .select("x", "y")
@@ -293,11 +299,11 @@ def linked_nodes(
 
     Every member of a bucket is compared with its hub, a text that meets most others, and where some are unlike it,
     with the most central text of the hub's group, which takes the hub's place; what is open still with the
-    hub of the rest, for ``rounds`` rounds. A text unlike its first hub that no later hub links, be it alone in its
-    bucket or a later hub itself, is compared with every text of its first hub that it
-    could be similar to at all: those with which it shares one of a few shingles outside the hub, or that the hub
-    holds as largely as itself. No pair that can link an open text is left out. Two groups that each have a hub are
-    joined where a hub or an open text links them.
+    hub of the rest, for ``rounds`` rounds. Whatever these later rounds found, a text unlike its first hub (or the central
+    text in its place) is then compared with every text of that hub that it could be similar to at all: those with
+    which it shares one of a few shingles outside the hub, or that the hub holds as largely as itself. Only pairs that
+    links connect already are skipped. Of two texts of one bucket either both are linked to its hub or one is unlike it, so
+    no link that joins two components is left out.
     """
     met_by = members.groupBy("band").agg(F.count("*").alias("n"))
     degrees = members.join(met_by, "band").groupBy("node").agg(F.sum("n").alias("degree"))
@@ -328,8 +334,6 @@ def linked_nodes(
             wide = wide.select("node", F.coalesce("central", "hub").alias("hub")).distinct()
             not_linked = compared.filter("not linked").select(F.col("a").alias("node"), F.col("b").alias("hub"))
             open_pairs = step(wide.join(not_linked.distinct(), ["node", "hub"]), "open")
-        else:
-            open_pairs = open_pairs.join(own.select(F.col("u").alias("node")).distinct(), "node", "left_anti")
         rest = met.join(unlike, ["node", "hub"]).select("band", "node", "degree", "first")
         if k == 0:
             renamed = rest.join(central, rest["first"] == central["hub"], "left")
@@ -337,7 +341,8 @@ def linked_nodes(
             near = second.filter("linked").select(F.col("a").alias("node"), F.col("b").alias("first"))
             rest = rest.join(near, ["node", "first"], "left_anti").filter("node <> first").select("band", "node", "degree", "first")
         rest = step(rest, "rest")
-    judged = step(_compared(_third_texts(compared, open_pairs, similar), texts, shipped, size, similar), "open")
+    known = components(links).select(F.col("node").alias("a"), "component")
+    judged = step(_compared(_third_texts(compared, open_pairs, known, similar), texts, shipped, size, similar), "open")
     return links.union(judged.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 

@@ -133,3 +133,18 @@ def test_a_text_alone_unlike_its_hub_meets_the_others(spark):
     members = [(1, n) for n in texts]
     assert grouped(all_pairs(members, texts)) == {"a": "a", "b": "a", "z": "a"}
     assert grouped(linked(spark, members, texts)) == {"a": "a", "b": "a", "z": "a"}
+
+
+def test_texts_of_two_hubs_meet(spark):
+    """Chains of revisions in one bucket, and in several that overlap: no link of all pairs of a bucket is lost."""
+    names = "azybcdexfgwh"  # z is the first hub, y central; later x links e and f, w links g and h, and f and g are alike
+    chain = {n: revision(k, 4, 260) for k, n in enumerate(names)}
+    one = [(1, n) for n in names]
+    assert {*grouped(all_pairs(one, chain)).values()} == {"a"}
+    assert grouped(linked(spark, one, chain)) == grouped(all_pairs(one, chain))
+    draw = np.random.default_rng(3)
+    texts = {f"{draw.integers(1 << 30):08x}{k}": revision(k, 2 + k % 3) for k in range(12)}
+    several = [(band, n) for band in range(4) for n in texts if draw.random() < 0.6]
+    found = linked(spark, several, texts)
+    assert grouped(found) == grouped(found + all_pairs(several, texts))
+    assert {tuple(sorted(pair)) for pair in found} <= {*all_pairs([(0, n) for n in texts], texts)}
