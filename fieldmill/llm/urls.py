@@ -32,11 +32,15 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """Blocks URLs that match ``pattern``; each of ``tokens`` is a word of every URL that does."""
+    """Blocks URLs that match ``pattern``; each of ``tokens`` is a word of every URL that does.
+
+    Where no single word is in all of them, ``one_of`` names words of which every such URL holds one at least.
+    """
 
     name: str
     pattern: str
     tokens: tuple[str, ...]
+    one_of: tuple[str, ...] = ()
 
 
 HOST_RULES = (
@@ -47,7 +51,7 @@ HOST_RULES = (
 )
 PATTERN_RULES = (
     PatternRule("pills", r"(?i)://[^/?#]*\bcheap[-.]pills\b", ("cheap", "pills")),
-    PatternRule("pharmacy", r"(?i)\b(?:online|cheap)[-.]?pharmacy\b", ("pharmacy",)),
+    PatternRule("pharmacy", r"(?i)\b(?:online|cheap)[-.]?pharmacy\b", (), ("pharmacy", "onlinepharmacy", "cheappharmacy")),
     PatternRule("spam farm", r"(?i)://[^/?#]*\bspam[-.]farm\b", ("spam", "farm")),
     PatternRule("casino", r"(?i)://[^/?#]*\bcasino\b", ("casino",)),
     PatternRule("poker", r"(?i)\bpoker[-./]", ("poker",)),
@@ -90,7 +94,7 @@ def url_tokens(url: Column) -> Column:
 
 
 def token_index(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str = "url") -> dict[str, list[PatternRule]]:
-    """Each rule under its token that the fewest URLs hold; rules without tokens under the empty string.
+    """Each rule under its token that the fewest URLs hold, or under every one of ``one_of``; others under the empty string.
 
     Ties go to the first in alphabetical order. One count over all URLs, of the rules' own tokens only.
     """
@@ -102,7 +106,8 @@ def token_index(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str =
     index: dict[str, list[PatternRule]] = {}
     for rule in rules:
         rarest = min(rule.tokens, key=lambda token: (counts.get(token, 0), token), default="")
-        index.setdefault(rarest, []).append(rule)
+        for token in rule.one_of if rule.one_of and not rule.tokens else (rarest,):
+            index.setdefault(token, []).append(rule)
     return index
 
 
@@ -113,7 +118,7 @@ def _pattern_hits(url: Column, index: dict[str, list[PatternRule]]) -> Column:
     described = lambda rules: F.array(*[F.struct(F.lit(r.name).alias("name"), F.lit(r.pattern).alias("pattern")) for r in rules])
     by_token = F.create_map(*[x for token, rules in sorted(index.items()) for x in (F.lit(token), described(rules))])
     keys = F.array_intersect(F.array_union(url_tokens(url), F.array(F.lit(""))), F.lit(sorted(index)))
-    fetched = F.flatten(F.transform(keys, lambda token: F.try_element_at(by_token, token)))
+    fetched = F.array_distinct(F.flatten(F.transform(keys, lambda token: F.try_element_at(by_token, token))))
     return F.transform(F.filter(fetched, lambda rule: F.regexp_like(F.coalesce(url, F.lit("")), rule["pattern"])), lambda r: r["name"])
 
 

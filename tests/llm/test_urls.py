@@ -49,3 +49,25 @@ def test_rules_lie_under_their_rarest_token(spark):
     assert {r.name for r in index[""]} == {"adult", "tracker"}
     with pytest.raises(ValueError, match="pattern rules"):
         urls.token_index(pages, urls.PATTERN_RULES * 2000)
+
+
+SPELLINGS = {
+    "pills": ["http://cheap-pills.a/", "http://x.cheap.pills.a/"],
+    "pharmacy": [f"http://{place}" for w in ("online", "Cheap") for s in ("-", ".", "") for place in (f"{w}{s}pharmacy.a/", f"a.b/{w}{s}PHARMACY?x")],
+    "spam farm": ["http://spam-farm.a/", "http://b.spam.farm/"],
+    "casino": ["http://casino.a/", "http://my-casino.a/"],
+    "poker": ["http://a.b/poker-x", "http://poker.a/", "http://a.b/poker/"],
+    "adult": ["http://xxx.a/", "http://a.porn/"],
+    "malware": [f"http://a.b/malware{s}{w}" for s in "-." for w in ("download", "host")],
+    "warez": ["http://a.b/warez"],
+    "tracker": [f"http://a.b/{s}{'0f' * 8}" for s in ("?click_id=", "?a&clickid=")],
+    "session link": [f"http://a.b/x{s}jsessionid={'0f' * 4}" for s in "?&;"],
+}
+
+
+def test_the_index_finds_every_spelling(spark):
+    both = "http://cheappharmacy.a/online-pharmacy/onlinepharmacy"
+    cases = [(name, url) for name, found in SPELLINGS.items() for url in found] + [("pharmacy", both)]
+    assert {*SPELLINGS} == {rule.name for rule in urls.PATTERN_RULES}
+    for r in urls.judge_urls(spark.createDataFrame(cases, "name string, url string"), ["name", "url"]).collect():
+        assert r["patterns"] == [r["doc"]["name"]] and r["verdict"] == "block", r
