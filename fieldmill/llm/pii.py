@@ -36,7 +36,7 @@ _PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "card_part": r"(?<![0-9])(?:[0-9]{16,19}+|[0-9]{4}(?:([ -])[0-9]{4})(?:\1[0-9]{4}){2})(?![0-9])",
     "phone_part": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])",
-    "secret": r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_-]{8,200}+[\"']?",
+    "secret": r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_-]{8,}+[\"']?",
     "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30})?\b",
 }
 #: A text without this can't hold the kind.

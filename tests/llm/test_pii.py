@@ -81,6 +81,12 @@ def test_added_spans_and_redaction(spark):
     assert pii.redacted(docs.limit(0)).count() == 0
 
 
+def test_long_secrets_go_whole(spark):
+    rows = [(n, f"see token = \"{('8824c3a463b8b0d6' * n)}\" ok") for n in (2, 13, 40, 4000)]
+    out = pii.redacted(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {n: "see [SECRET] ok" for n, _ in rows}
+
+
 def test_reliabilities_follow_the_votes():
     counted = [
         {"kind": "secret", "form": f, "known": k, "context": c, "edges": e, "content": x, "n": n}
