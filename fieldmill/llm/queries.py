@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmill.llm import (
+    bytes_index,
     decontaminate,
     embeddings,
     langid,
@@ -23,6 +24,7 @@ from fieldmill.llm import (
     urls,
 )
 from fieldmill.llm.shipping import ship
+from fieldmill.llm.storage import step
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {
@@ -233,3 +235,27 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.array_max(F.transform("matches", lambda m: m["coverage"])), 6).alias("best_coverage"),
         F.array_join(spans, ",").alias("spans"),
     )
+
+
+@_query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its bytes, how many lie in strings that also start elsewhere, their runs, and a digest of the rest."""
+    docs = _table(spark, sf_dir, "documents")
+    texts = step(bytes_index.different_texts(docs), "texts")
+    cut = bytes_index.without_spans(texts, bytes_index.repeated_spans(texts)).select(
+        "key", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256")
+    )
+    content = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select(
+        "doc_id",
+        bytes_index.text_key("text").alias("key"),
+        F.octet_length(content).cast("long").alias("n_bytes"),
+        F.sha2(content, 256).alias("whole_sha256"),
+    )
+    return rows.join(step(cut, "cut"), "key", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
+    )
