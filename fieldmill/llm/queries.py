@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldmill.llm import (
     bytes_index,
+    conversations,
     decontaminate,
     embeddings,
     langid,
@@ -259,3 +260,20 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
     )
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per conversation, after damage: its faults, the cheapest edits and a digest of the repaired rows."""
+    rows = _table(spark, sf_dir, "conversations")
+    found = step(conversations.report(conversations.damaged(rows), conv="conv_id"), "report")
+    named = rows.select("conv_id").distinct()
+    counts = [
+        F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    ]
+    return named.join(found, named["conv_id"].eqNullSafe(found["conv"]), "left").select(
+        "conv_id",
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
