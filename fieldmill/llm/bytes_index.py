@@ -13,8 +13,8 @@ A *window* is ``window`` bytes. The steps:
    prefixes are compared at those places only, and streaming through the text gives every position's longest
    match elsewhere, one less than at the position before unless a run end lies there. Matches of ``window`` or more
    are marked.
-5. *Heavy keys.* The segments of a key with more than a block are dealt to several blocks; windows that are
-   single in their block then meet by 128-bit hash, one row for each different window of a block.
+5. *Heavy keys.* The segments of a key with more than a block are dealt to several blocks; the different windows of
+   each then meet by 128-bit hash, in as many buckets of hashes.
 
 Only hashes, digests and spans are grouped, with partial aggregation; texts are joined by their digest.
 """
@@ -262,7 +262,7 @@ def _segment_rows(batches: Iterator[pa.RecordBatch], window: int, gram: int, eve
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(block, split, open, key, start, bytes)`` of ``(key, text, spans)``."""
+    """``(block, seed, parts, open, key, start, bytes)`` of ``(key, text, spans)``."""
     for batch in batches:
         spans = batch.column(2)
         row = np.repeat(np.arange(batch.num_rows), np.diff(spans.offsets.to_numpy()))
@@ -280,13 +280,14 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.field("block"),
-                    part.field("split"),
+                    part.field("seed"),
+                    part.field("parts"),
                     part.field("open"),
                     batch.column(0).take(pa.array(row[pick])),
                     part.field("start"),
                     pa.array(own, pa.binary()),
                 ],
-                ["block", "split", "open", "key", "start", "bytes"],
+                ["block", "seed", "parts", "open", "key", "start", "bytes"],
             )
 
 
@@ -372,15 +373,20 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-_FOUND = "key binary, start int, length int, high long, low long"
+_FOUND = (
+    "key binary, start int, length int, seed long, bucket long, "
+    "high array<long>, low array<long>, named array<int>, at array<int>, keys array<binary>"
+)
 
 
 def _index(block: pa.Table, window: int) -> pa.Table:
     """The repeated windows of a block's open segments, and the hashes of the different windows of split keys.
 
-    Rows without a hash are marks. Of a row with a hash the key is null unless the window is of an open segment and single.
+    A row without a seed is a mark. A row with one has the windows of one bucket of the seed's hashes: ``named`` says which of
+    ``keys`` a window begins in (at ``at``) if its segment is open and the window single, else -1.
     """
-    split, still_open = block.column("split").to_numpy(), block.column("open").to_numpy()
+    seeds, parts = block.column("seed").to_numpy(), block.column("parts").to_numpy()
+    still_open = block.column("open").to_numpy()
     keys, starts = block.column("key").combine_chunks(), block.column("start").to_numpy()
     data, offsets = _flat(block.column("bytes").combine_chunks())
     sizes = np.diff(offsets)
@@ -398,13 +404,14 @@ def _index(block: pa.Table, window: int) -> pa.Table:
         keys.take(pa.array(row[first])),
         pa.array(starts[row[first]] + inner[first], pa.int32()),
         pa.array(end - first + window - 1, pa.int32()),
-        pa.nulls(len(first), pa.int64()),
-        pa.nulls(len(first), pa.int64()),
+        *[pa.nulls(len(first), kind) for kind in (pa.int64(), pa.int64())],
+        *[pa.nulls(len(first), pa.list_(kind)) for kind in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())],
     ]
-    names = ["key", "start", "length", "high", "low"]
+    names = ["key", "start", "length", "seed", "bucket", "high", "low", "named", "at", "keys"]
     out = [pa.table(marks, names)]
-    if split.any():
-        pick = np.flatnonzero(is_window & split[row])
+    for seed in np.unique(seeds[parts > 1]).tolist():
+        own = seeds == seed
+        pick = np.flatnonzero(is_window & own[row])
         high, low = (window_hashes(data, window, which)[pick] for which in (0, 1))
         single = (~repeated & still_open[row])[pick]
         order = np.lexsort((low, high))
@@ -412,17 +419,50 @@ def _index(block: pa.Table, window: int) -> pa.Table:
         new = np.ones(len(pick), bool)
         new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
         pick, high, low, single = pick[new], high[new], low[new], single[new]
-        hashed = [
-            keys.take(pa.array(row[pick], mask=~single)),
-            pa.array(starts[row[pick]] + inner[pick], pa.int32()),
-            pa.array(np.full(len(pick), window), pa.int32()),
-            as_signed(high),
-            as_signed(low),
-        ]
-        out.append(pa.table(hashed, names))
+        bucket = low % np.uint64(parts[own][0])
+        for one in np.unique(bucket).tolist():
+            own = bucket == one
+            held, place = np.unique(row[pick[own]][single[own]], return_inverse=True)
+            named = np.full(own.sum(), -1)
+            named[single[own]] = place
+            lists = [
+                [as_signed(high[own]), as_signed(low[own]), pa.array(named, pa.int32())],
+                [pa.array(starts[row[pick[own]]] + inner[pick[own]], pa.int32()), keys.take(pa.array(held))],
+            ]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in lists[0] + lists[1]]
+            alone = [pa.nulls(1, kind) for kind in (pa.binary(), pa.int32(), pa.int32())]
+            out.append(pa.table([*alone, pa.array([seed]), pa.array([one], pa.int64()), *lists], names))
     return pa.concat_tables(out)
 
 
+def _resolved(bucket: pa.Table, window: int) -> pa.Table:
+    """The single windows of a bucket whose hash another block has too."""
+    high, low, named, at = (bucket.column(name).combine_chunks() for name in ("high", "low", "named", "at"))
+    keys = bucket.column("keys").combine_chunks()
+    per_row, held = np.diff(high.offsets.to_numpy()), np.diff(keys.offsets.to_numpy())
+    first = np.repeat(np.cumsum(held) - held, per_row)
+    high, low, named, at = (column.flatten().to_numpy() for column in (high, low, named, at))
+    order = np.lexsort((low, high))
+    new = np.ones(len(order) + 1, bool)
+    new[1:-1] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+    shared = order[~(new[:-1] & new[1:])]
+    shared = shared[named[shared] >= 0]
+    key, at = (first + named)[shared], at[shared].astype(np.int64)
+    order = np.lexsort((at, key))
+    key, at = key[order], at[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1)
+    begins = np.flatnonzero(new)
+    ends = np.append(begins[1:], len(key)) - 1
+    return pa.table(
+        {
+            "key": keys.flatten().take(pa.array(key[begins])),
+            "start": pa.array(at[begins], pa.int32()),
+            "length": pa.array(at[ends] - at[begins] + window, pa.int32()) if len(begins) else pa.array([], pa.int32()),
+        }
+    )
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(key, n_bytes, n_removed, n_spans, kept)`` of ``(key, text, spans)``."""
     for batch in batches:
@@ -513,7 +553,8 @@ def _indexed(texts: DataFrame, pieces: DataFrame, window: int, block: int) -> Da
             F.col("at.key").alias("key"),
             F.struct(
                 F.pmod(F.xxhash64("seed", part), F.lit(blocks)).alias("block"),
-                (parts > 1).alias("split"),
+                "seed",
+                parts.cast("long").alias("parts"),
                 (F.col("n") == 1).alias("open"),
                 F.col("at.start").alias("start"),
                 "length",
@@ -525,13 +566,15 @@ def _indexed(texts: DataFrame, pieces: DataFrame, window: int, block: int) -> Da
     cut = (
         texts.select("key", "text")
         .join(asked, "key")
-        .mapInArrow(_cut_out, "block long, split boolean, open boolean, key binary, start int, bytes binary")
+        .mapInArrow(_cut_out, "block long, seed long, parts long, open boolean, key binary, start int, bytes binary")
     )
     found = step(cut.groupBy("block").applyInArrow(lambda table: _index(table, window), _FOUND), "found")
-    hashed = found.filter("high is not null")
-    both = step(hashed.groupBy("high", "low").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("high", "low"), "both")
-    single = hashed.filter("key is not null").join(both, ["high", "low"]).select("key", "start", "length")
-    return found.filter("high is null").select("key", "start", "length").union(single)
+    single = (
+        found.filter("seed is not null")
+        .groupBy("seed", "bucket")
+        .applyInArrow(lambda table: _resolved(table, window), "key binary, start int, length int")
+    )
+    return found.filter("seed is null").select("key", "start", "length").union(single)
 
 
 def repeated_spans(
