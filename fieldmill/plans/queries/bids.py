@@ -146,6 +146,21 @@ def gold_bids_expected(spark: SparkSession, folder: str) -> DataFrame:
     return gold_table(spark, folder, only_valid_consent=True)
 
 
+@query("gold_bids_incremental", f"{GOLD_SQL} SELECT * FROM gold")
+def gold_bids_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests in two drops; the second time only the buckets of its auctions are joined anew."""
+    root = new_shared_folder(spark, "drops")
+    tables = bids.BidTables(f"{root}/tables", buckets=8)
+    number = F.substring_index("device_auction_id", "-", -1).cast("bigint")
+    in_view = F.round(number * 7919 % 1000 / 1000.0 + 0.1)
+    for name, which in [("first", "o_orderkey % 16 <> 3"), ("second", "o_orderkey % 16 = 3")]:
+        bid_documents(spark, folder, f"{root}/incoming/{name}", which)
+        bids.update_bronze(spark, f"{root}/incoming/*", tables)
+        bids.update_silver(spark, tables)
+        table = bids.update_gold(spark, tables, in_view)
+    return table.transform(flat_banner)
+
+
 @query(
     "expectation_report",
     f"""WITH {BIDS_SQL}

@@ -1,6 +1,6 @@
 from fieldmill.sources.delimited import read_delimited, read_with_borrowed_header
 from fieldmill.sources.documents import json_view, read_json, write_documents
-from fieldmill.sources.shared import new_shared_folder, remove_shared_folders, stored
+from fieldmill.sources.shared import new_shared_folder, path_exists, remove_shared_folders, stored
 from fieldmill.sources.tables import drop_table, load_table, replace_table
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "json_view",
     "load_table",
     "new_shared_folder",
+    "path_exists",
     "read_delimited",
     "read_json",
     "read_with_borrowed_header",

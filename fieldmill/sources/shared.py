@@ -17,6 +17,12 @@ def _filesystem(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder of any file system is there."""
+    where, filesystem = _filesystem(spark, path)
+    return filesystem.exists(where)
+
+
 def new_shared_folder(spark: SparkSession, label: str) -> str:
     """A new, empty path under the folder named by ``spark.checkpoint.dir``.
 

@@ -12,10 +12,13 @@ from fieldmill.streaming.medallion import (
     silver_imp,
     silver_site,
 )
+from fieldmill.streaming.schemas import SchemaLog, merged_type, with_schema
 
 __all__ = [
+    "SchemaLog",
     "gold",
     "in_view_flag",
+    "merged_type",
     "run_available",
     "silver_device",
     "silver_imp",
@@ -24,4 +27,5 @@ __all__ = [
     "stored_schema",
     "stream_json",
     "stream_parquet",
+    "with_schema",
 ]

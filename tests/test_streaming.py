@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldmill.operators import frame_difference
 from fieldmill.plans import bids
@@ -14,6 +15,7 @@ from fieldmill.sources import new_shared_folder, read_json
 from fieldmill.streaming import (
     gold,
     in_view_flag,
+    merged_type,
     run_available,
     silver_device,
     silver_imp,
@@ -76,6 +78,86 @@ def test_bronze_keeps_every_field_and_takes_up_new_ones(spark, stage):
     assert models == {"b1": (None, None), "b2": (None, None), "b3": (None, None), "b9": ("m", "Ulm")}
 
 
+def test_only_new_files_are_inferred(spark, stage, monkeypatch):
+    incoming, tables = stage
+    looked_at = []
+
+    def counted(spark, paths, **options):
+        looked_at.append(sorted(Path(path).name for path in paths))
+        return read_json(spark, paths, **options)
+
+    monkeypatch.setattr(bids, "read_json", counted)
+    drop_file(incoming, "one.json", FIRST)
+    drop_file(incoming, "a 1.json", FIRST[:1])
+    bids.update_bronze(spark, str(incoming), tables)
+    drop_file(incoming, "two.json", SECOND)
+    assert bids.update_bronze(spark, str(incoming), tables).count() == 6
+    bids.update_bronze(spark, str(incoming), tables)
+    assert looked_at == [["a 1.json", "one.json"], ["two.json"]]
+
+
+def test_a_field_may_need_a_wider_type(spark, stage):
+    incoming, tables = stage
+    numbers = [("one", 1), ("two", 1.5), ("three", "much"), ("four", {"a": 1}), ("five", 2)]
+    for i, (name, at) in enumerate(numbers):
+        record = bid(i, 1)
+        record["at"], record["device"]["geo"]["zone"] = at, at
+        drop_file(incoming, f"{name}.json", [record])
+        bronze = bids.update_bronze(spark, str(incoming), tables)
+        silver = bids.update_silver(spark, tables)
+        table = bids.update_gold(spark, tables, F.lit(1.0))
+        assert frame_difference(table, bids.build_gold(spark, tables, F.lit(1.0))).count() == 0
+    assert len(tables.schema_log(spark).generations()) == 3
+    assert [r["at"] for r in bronze.orderBy("id").select("at").collect()] == ["1", "1.5", "much", '{"a":1}', "2"]
+    zones = silver["device"].orderBy("device_auction_id").select("device_zone").collect()
+    assert [r[0] for r in zones] == ["1", "1.5", "much", '{"a":1}', "2"]
+    assert table.count() == silver["imp"].count() == 5
+
+
+def test_merged_types():
+    old = StructType.fromDDL("a bigint, s struct<x: bigint, y: string>, l array<struct<z: bigint>>, t string")
+    new = StructType.fromDDL("a double, s struct<x: bigint, w: boolean>, l array<struct<z: bigint, v: double>>, t bigint, n bigint")
+    merged = merged_type(old, new)
+    assert merged == StructType.fromDDL(
+        "a double, s struct<x: bigint, y: string, w: boolean>, l array<struct<z: bigint, v: double>>, t string, n bigint"
+    )
+    assert merged_type(merged, old) == merged == merged_type(merged, merged)
+    assert merged_type(StructType.fromDDL("a array<bigint>"), StructType.fromDDL("a boolean")) == StructType.fromDDL("a string")
+
+
+def test_gold_rebuilds_the_buckets_of_changed_auctions_only(spark, stage):
+    incoming, root = stage[0], stage[1].root
+    tables = bids.BidTables(root, buckets=8)
+
+    def update():
+        bids.update_bronze(spark, str(incoming), tables)
+        bids.update_silver(spark, tables)
+        gold_table = bids.update_gold(spark, tables, F.lit(1.0))
+        assert frame_difference(gold_table, bids.build_gold(spark, tables, F.lit(1.0))).count() == 0
+        return gold_table, {p: p.stat().st_mtime_ns for p in Path(tables.table("gold")).glob("bucket=*/*.parquet")}
+
+    drop_file(incoming, "one.json", [bid(i, i % 3) for i in range(40)])
+    table, first = update()
+    assert {p.parent.name for p in first} == {f"bucket={k}" for k in range(8)}
+    assert update()[1] == first
+    drop_file(incoming, "two.json", [bid(7, 2, os="android")])
+    table, second = update()
+    assert len({p.parent.name for p in second.items() ^ first.items() for p in [p[0]]}) == 1
+    assert table.where("device_auction_id = 'b7'").count() == 2 * 2 * 3
+    gated = bids.update_gold(spark, bids.BidTables(root, buckets=8), F.lit(1.0))
+    assert gated.count() == table.count()
+
+
+def test_gold_without_rows_and_without_buckets(spark, stage):
+    incoming, tables = stage
+    run_all(spark, incoming, tables)
+    assert bids.update_gold(spark, tables, schema=bids.BID_SCHEMA).count() == 0
+    drop_file(incoming, "one.json", FIRST + SECOND)
+    run_all(spark, incoming, tables)
+    table = bids.update_gold(spark, tables, F.lit(1.0), schema=bids.BID_SCHEMA)
+    assert frame_difference(table, bids.build_gold(spark, tables, F.lit(1.0))).count() == 0 and table.count() == 8
+
+
 def test_each_run_takes_only_new_files(spark, stage):
     incoming, tables = stage
     drop_file(incoming, "one.json", FIRST)
