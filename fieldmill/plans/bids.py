@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from fieldmill.operators import expect_or_drop
-from fieldmill.sources import path_exists, read_json
+from fieldmill.sources import bucketed_table, path_exists, read_json, stored
 from fieldmill.streaming import (
     SchemaLog,
     gold,
@@ -198,6 +198,27 @@ def build_gold(
     return _gold(spark, tables, _generations(spark, tables, schema), in_view, only_valid_consent)
 
 
+def read_bids(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str = BID_SCHEMA) -> DataFrame:
+    """Bid requests from JSON documents as one batch."""
+    return read_json(spark, paths, multi_line=True, schema=schema)
+
+
+def bucketed_gold(
+    bronze: DataFrame, names: dict[str, str], buckets: int = GOLD_BUCKETS, in_view: Column | None = None
+) -> DataFrame:
+    """Gold over silver stored as bucketed catalog tables ``names`` (by stage), so that no join shuffles.
+
+    For silver that is asked often and whose auctions all have few impressions: the shuffle is paid once, when the tables are
+    written. An auction with very many impressions is better served by :func:`build_gold`, whose joins can split it.
+    """
+    stored_bids = stored(bronze, "bids")
+    tables = {
+        stage: bucketed_table(step(stored_bids), names[stage], f"{stage}_auction_id", buckets)
+        for stage, step in SILVER_STEPS.items()
+    }
+    return gold(tables["device"], tables["imp"], tables["site"], in_view)
+
+
 def update_gold(
     spark: SparkSession,
     tables: BidTables,

@@ -16,7 +16,7 @@ from fieldmill.functions import (
     parse_xml,
 )
 from fieldmill.operators import mode_per_group, order_split, positions_to_columns, top_k, top_per_group
-from fieldmill.sources import json_view, stored
+from fieldmill.sources import json_view, read_document_records, stored
 
 # The slots of one birth record.
 BIRTH_FIELDS = (
@@ -48,9 +48,23 @@ BIRTHS_JSON = "data array<array<string>>"
 
 def explode_births(documents: DataFrame) -> DataFrame:
     """One row per birth record out of documents that hold an array of arrays in ``data``."""
+    return shape_births(documents.select(F.explode("data").alias("data")))
+
+
+def read_births(spark: SparkSession, path: str) -> DataFrame:
+    """The records of documents of any size, read by as many tasks as the size asks for; those that aren't arrays are left out.
+
+    The records follow ``"data": [`` and one another after a line end and a comma.
+    """
+    head = r'\s*\{.*?"data"\s*:\s*\['
+    records = read_document_records(spark, path, "array<string>", head)
+    return shape_births(records.select(F.col("record").alias("data")).where("data is not null"))
+
+
+def shape_births(records: DataFrame) -> DataFrame:
+    """Columns, types and cleaned keys of records that are arrays in ``data``."""
     return (
-        documents.select(F.explode("data").alias("data"))
-        .transform(positions_to_columns, "data", BIRTH_FIELDS, {"count": "int"})
+        records.transform(positions_to_columns, "data", BIRTH_FIELDS, {"count": "int"})
         .withColumns(
             {
                 "created_at_ts": epoch_to_timestamp(F.col("created_at")),

@@ -51,6 +51,13 @@ def json_multiline_positions(spark: SparkSession, folder: str) -> DataFrame:
     return checked_columns(birth_records(spark, folder))
 
 
+@query("json_single_document", POSITIONS_SQL)
+def json_single_document(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of up to a million records, each split between tasks at its records."""
+    path = birth_documents(spark, folder, rows_per_document=1_000_000)
+    return checked_columns(births.read_births(spark, path).transform(require_shape, births.BIRTH_SHAPE))
+
+
 @query("json_view_positions", POSITIONS_SQL)
 def json_view_positions(spark: SparkSession, folder: str) -> DataFrame:
     """The same through a JSON source declared in SQL, its schema inferred."""

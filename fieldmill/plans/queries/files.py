@@ -12,10 +12,13 @@ from fieldmill.plans import temps
 from fieldmill.plans.registry import query
 from fieldmill.sources import (
     drop_table,
+    footer_stats,
     load_table,
     new_shared_folder,
     read_delimited,
+    read_delimited_apart,
     read_json,
+    read_json_lines_apart,
     read_with_borrowed_header,
     replace_table,
     stored,
@@ -136,6 +139,55 @@ def json_lines_read(spark: SparkSession, folder: str) -> DataFrame:
     return read_json(spark, out, schema=f"{schema}, ts string").select(*EVENT_TYPES, shown)
 
 
+DAMAGES_SQL = """SELECT kind, reason, fields, count(*) AS n, sum(o_orderkey) AS keys FROM (
+        SELECT *, unnest(['csv', 'json']) AS kind, CASE o_orderkey % 32 WHEN 3 THEN 'broken record'
+                WHEN 5 THEN 'unreadable value' WHEN 6 THEN 'unreadable value' ELSE 'none' END AS reason,
+            CASE o_orderkey % 32 WHEN 5 THEN 'o_totalprice' WHEN 6 THEN 'o_custkey,o_totalprice' END AS fields
+        FROM orders) GROUP BY 1, 2, 3"""
+
+
+@query("damaged_rows", DAMAGES_SQL)
+def damaged_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as delimited and as JSON lines, some of them damaged: what is readable, and what is kept apart and why."""
+    out = new_shared_folder(spark, "damaged")
+    damage = F.col("o_orderkey") % 32
+    custkey = F.when(damage == 6, "none").otherwise(F.col("o_custkey").cast("string"))
+    price = F.when(damage.isin(5, 6), "12,5x").otherwise(F.col("o_totalprice").cast("string"))
+    orders = load_table(spark, folder, "orders").select("o_orderkey", custkey.alias("o_custkey"), price.alias("o_totalprice"))
+    whole = F.concat_ws(";", *orders.columns)
+    orders.select(F.when(damage == 3, F.concat_ws(";", "o_orderkey", F.lit("cut"))).otherwise(whole)).write.text(f"{out}/csv")
+    number = F.col("o_custkey").try_cast("bigint")
+    shaped = F.to_json(F.struct("o_orderkey", F.when(number.isNull(), '#').otherwise(F.col("o_custkey")).alias("o_custkey"), "o_totalprice"))
+    bare = F.regexp_replace(shaped, r'"(-?[0-9.]+(?:E[0-9]+)?)"', "$1")
+    orders.select(F.when(damage == 3, F.concat(F.lit('{"o_orderkey":'), "o_orderkey", F.lit(","))).otherwise(bare)).write.text(f"{out}/json")
+    schema = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
+    parts = []
+    for kind, (good, bad) in {
+        "csv": read_delimited_apart(spark, f"{out}/csv", schema, sep=";", header=False),
+        "json": read_json_lines_apart(spark, f"{out}/json", schema),
+    }.items():
+        key = F.regexp_extract("record", "([0-9]+)", 1).cast("bigint").alias("o_orderkey")
+        apart = bad.select("reason", "fields", key)
+        readable = good.select(F.lit("none").alias("reason"), F.lit(None).cast("string").alias("fields"), "o_orderkey")
+        parts.append(readable.union(apart).withColumn("kind", F.lit(kind)))
+    return parts[0].union(parts[1]).groupBy("kind", "reason", "fields").agg(
+        F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")
+    )
+
+
+@query(
+    "footer_counts",
+    """SELECT count(*) AS n, count(l_orderkey) AS n_l_orderkey, count(l_returnflag) AS n_l_returnflag,
+              min(l_orderkey) AS min_l_orderkey, max(l_orderkey) AS max_l_orderkey,
+              min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity FROM lineitem""",
+)
+def footer_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and extremes of the line items, answered by the footers of their files."""
+    return footer_stats(
+        spark, f"{folder.rstrip('/')}/lineitem.parquet", ["l_orderkey", "l_returnflag"], ["l_orderkey", "l_quantity"]
+    )
+
+
 @query(
     "filter_and_dedupe",
     """SELECT o_orderstatus, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate

@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 from fieldmill.functions import is_later, timing_label, timing_label_udf
 from fieldmill.operators import (
     distinct_counts,
+    distinct_sketches,
     distinct_values,
     frame_difference,
     group_stats,
+    hashed_sample,
     lookup_roles,
+    merge_sketches,
     mode_per_group,
     order_split,
     ratio_where,
+    sketched_counts,
+    table_difference,
     top_k,
     top_per_group,
 )
 from fieldmill.plans import flights
 from fieldmill.plans.registry import query, rounded_sql
-from fieldmill.sources import load_table
+from fieldmill.sources import load_table, stored
 
 
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,6 +173,42 @@ def approx_distinct_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "distinct_sketch_merge",
+    """SELECT l_returnflag, count(DISTINCT l_partkey) AS n_parts, count(DISTINCT l_orderkey) AS n_orders,
+              true AS parts_are_close, true AS orders_are_close
+       FROM lineitem GROUP BY 1""",
+)
+def distinct_sketch_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of two halves of the line items, stored apart and merged, against the exact counts."""
+    lines, columns = load_table(spark, folder, "lineitem"), ["l_partkey", "l_orderkey"]
+    halves = [
+        stored(distinct_sketches(lines.where(F.col("l_linenumber") % 2 == part), ["l_returnflag"], columns), "sketches")
+        for part in (0, 1)
+    ]
+    merged = sketched_counts(merge_sketches(halves[0].union(halves[1]), ["l_returnflag"], columns), columns)
+    exact = [
+        lines.select("l_returnflag", name).distinct().groupBy(F.col("l_returnflag").alias("flag")).agg(F.count(name).alias(alias))
+        for name, alias in (("l_partkey", "n_parts"), ("l_orderkey", "n_orders"))
+    ]
+
+    def close(estimate: str, n: str) -> Column:
+        return F.abs(F.col(estimate) - F.col(n)) <= 0.02 * F.col(n) + 1
+
+    return (
+        merged.join(exact[0], F.col("l_returnflag").eqNullSafe(F.col("flag")))
+        .drop("flag")
+        .join(exact[1], F.col("l_returnflag").eqNullSafe(F.col("flag")))
+        .select(
+            "l_returnflag",
+            "n_parts",
+            "n_orders",
+            close("l_partkey", "n_parts").alias("parts_are_close"),
+            close("l_orderkey", "n_orders").alias("orders_are_close"),
+        )
+    )
+
+
 @query(
     "distinct_values",
     """SELECT DISTINCT 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders
@@ -317,6 +358,29 @@ def rank_difference(spark: SparkSession, folder: str) -> DataFrame:
     return frame_difference(top_per_year_sql(spark, folder), top_per_year_rownum(spark, folder))
 
 
+@query(
+    "table_difference",
+    """SELECT o_orderkey, o_custkey, o_totalprice + changed AS o_totalprice, 1 - side AS left_copies, side AS right_copies
+       FROM (SELECT *, unnest([0.0, 1.0]) AS changed, unnest(CAST([0, 1] AS BIGINT[])) AS side
+             FROM orders WHERE o_orderkey % 997 = 5)""",
+)
+def changed_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders against a stored copy in which few prices differ: digests first, rows of unequal buckets then."""
+    orders = load_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    raised = F.when(F.col("o_orderkey") % 997 == 5, F.col("o_totalprice") + 1.0).otherwise(F.col("o_totalprice"))
+    return table_difference(orders, stored(orders.withColumn("o_totalprice", raised), "copy"))
+
+
+@query(
+    "repeatable_sample",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 1000",
+)
+def repeatable_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """A thousand orders drawn by the hash of their keys."""
+    orders = load_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return hashed_sample(orders, ["o_orderkey"], 1000)
+
+
 @query(
     "window_group_stats",
     f"""SELECT strftime(l_shipdate, '%Y-%m-%d') AS shipdate, l_returnflag, l_partkey, l_quantity,

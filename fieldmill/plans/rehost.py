@@ -106,7 +106,7 @@ def flight_files(spark: SparkSession, folder: str) -> tuple[str, str, str]:
     return f"{out}/first", f"{out}/rest", f"{out}/airports"
 
 
-def birth_documents(spark: SparkSession, folder: str) -> str:
+def birth_documents(spark: SparkSession, folder: str, rows_per_document: int = 10_000) -> str:
     """Write one birth record per event as multi-line documents ``{"meta": …, "data": [[…], …]}``."""
     out = f"{new_shared_folder(spark, 'births')}/documents"
     records = load_table(spark, folder, "events").selectExpr(
@@ -119,7 +119,7 @@ def birth_documents(spark: SparkSession, folder: str) -> str:
                        event_id % 40, '"]')
            END AS record"""
     )
-    write_documents(records, out, head='{"meta": {"view": "births"}, "data": [', foot="]}")
+    write_documents(records, out, '{"meta": {"view": "births"}, "data": [', "]}", rows_per_document)
     return out
 
 

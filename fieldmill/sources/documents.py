@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from fieldmill.functions.text import quoted
 
@@ -35,6 +35,38 @@ def read_json(
     return reader.json([paths] if isinstance(paths, str) else list(paths))
 
 
+def read_document_records(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    record: str,
+    head: str = r"\s*\[",
+    separator: str = "\n,",
+    **options: str,
+) -> DataFrame:
+    """The records of large JSON documents, ``(record, unread)``, each document read by as many tasks as its size asks for.
+
+    A document is one array of records, perhaps inside an object: ``head`` is a regular expression for all that comes
+    before the first record and for the beginning of no record; ``separator`` is the text between two records, which
+    appears nowhere else. ``record`` is the type of a record, an array or a struct. The files are split at separators like text
+    at line ends, so no task holds a document. What can't be parsed is null and kept as text in ``unread``; a document without
+    records gives none. ``options`` are those of the JSON parser.
+    """
+    files = [paths] if isinstance(paths, str) else list(paths)
+    chunks = spark.read.option("lineSep", separator).text(files)
+    text = F.regexp_replace("value", f"^(?s:{head})", "")
+    kind = DataType.fromDDL(record)
+    if isinstance(kind, StructType):
+        # a broken object would be a struct of nulls
+        whole = StructType([*kind, StructField("_unread", StringType())])
+        parsed = F.from_json("text", whole, {**options, "columnNameOfCorruptRecord": "_unread"})
+        parsed = F.when(parsed["_unread"].isNull(), parsed.dropFields("_unread"))
+    else:
+        parsed = F.from_json("text", kind, options)
+    nothing = F.col("text").rlike(r"^[\s\]\}]*$")
+    rows = chunks.select(text.alias("text")).where(~nothing).select(parsed.alias("record"), "text")
+    return rows.select("record", F.when(F.col("record").isNull(), F.col("text")).alias("unread"))
+
+
 def json_view(
     spark: SparkSession, name: str, path: str, multi_line: bool = False, replace: bool = True
 ) -> None:

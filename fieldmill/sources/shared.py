@@ -57,12 +57,17 @@ def remove_shared_folders(spark: SparkSession) -> int:
     return removed
 
 
+def stored_path(df: DataFrame, label: str) -> str:
+    """Write ``df`` to a new shared folder and return the path of the written table."""
+    path = f"{new_shared_folder(df.sparkSession, label)}/table"
+    df.write.parquet(path)
+    return path
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new shared folder and return the written table.
 
     For a prepared table that several steps read: text is parsed and joined once, the later reads are
     columnar and pruned, and they survive the loss of an executor.
     """
-    path = f"{new_shared_folder(df.sparkSession, label)}/table"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stored_path(df, label))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldmill.functions.text import quoted
+
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` in ``folder``."""
@@ -32,6 +34,20 @@ def replace_table(
     return spark.table(name)
 
 
+def bucketed_table(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """Write ``df`` as managed table ``name``, its rows dealt to ``buckets`` files sets by a hash of ``by``, and return the table.
+
+    Tables dealt alike join on ``by`` without a shuffle, as often as they are asked; the shuffle is paid once, here. A value
+    that owns a large share of the rows makes one large bucket, which a join can't split, so this is for keys
+    without such values. The tables lie in the warehouse, which all executors must share.
+    """
+    spark = df.sparkSession
+    drop_table(spark, name)
+    dealt = df.repartition(buckets, quoted(by))
+    dealt.write.format("parquet").bucketBy(buckets, by).sortBy(by).saveAsTable(name)
+    return spark.table(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     """Drop catalog table ``name`` if it is there; files of an external table stay."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
