@@ -33,6 +33,9 @@ ORACLES: dict[str, str] = {
     "op5_embedding_near_dedup": oracles.NEAR_VECTORS,
     "op7_decontaminate": oracles.DECONTAMINATE,
     "op9_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
+    "op12_conversation_repair": oracles.CONVERSATION_REPAIR,
+    "op13_suffix_dedup": oracles.SUFFIX_DEDUP,
 }
 
 
