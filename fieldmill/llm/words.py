@@ -120,10 +120,28 @@ def text_slices(column: pa.Array, target: int = SLICE_BYTES) -> Iterator[tuple[i
         row = end
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, members: np.ndarray, fold: np.ndarray | None = None) -> Words:
-    """The maximal runs of member bytes; a row's end also ends a word."""
-    if fold is not None:
-        data = fold[data]
+def small_batches(batches: Iterator[pa.RecordBatch], text_at: int, target: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``target`` bytes of text in column ``text_at``, a row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+        ends, row = np.cumsum(sizes.astype(np.int64) + 16), 0
+        while row < batch.num_rows:
+            done = int(ends[row - 1]) if row else 0
+            end = max(int(np.searchsorted(ends, done + target, side="right")), row + 1)
+            yield batch.slice(row, end - row)
+            row = end
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span."""
+    powers, inverses = _power_tables(len(data) + 1)
+    summed = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=summed[1:])
+    return mix((summed[ends] - summed[starts]) * inverses[starts])
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the maximal runs of member bytes; a row's end also ends a word."""
     inside = members[data]
     breaks = np.zeros(len(data) + 1, bool)
     breaks[offsets] = True
@@ -131,12 +149,15 @@ def find_words(data: np.ndarray, offsets: np.ndarray, members: np.ndarray, fold:
     starts[1:] &= ~inside[:-1] | breaks[1:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | breaks[1:-1]
-    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    powers, inverses = _power_tables(len(data) + 1)
-    summed = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=summed[1:])
-    hashes = mix((summed[ends] - summed[starts]) * inverses[starts])
-    return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), hashes)
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+
+
+def find_words(data: np.ndarray, offsets: np.ndarray, members: np.ndarray, fold: np.ndarray | None = None) -> Words:
+    """The maximal runs of member bytes; a row's end also ends a word."""
+    if fold is not None:
+        data = fold[data]
+    starts, ends = word_spans(data, offsets, members)
+    return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), span_hashes(data, starts, ends))
 
 
 def as_signed(hashes: np.ndarray) -> pa.Array:
