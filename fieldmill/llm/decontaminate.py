@@ -1,23 +1,26 @@
 """Benchmark decontamination: windows of benchmark words are looked up in every document.
 
-The benchmark's word windows become a hash set that every task holds. It is built in blocks of at most
-``block_windows`` windows; a larger benchmark makes more passes in the same stage, so what is broadcast at
-a time is bounded. Document windows are hashed and looked up in bulk; each hit is verified by its words.
+The benchmark's distinct word windows are stored, and become a hash set that every task holds. Up to ``block_windows`` of
+them are one set. A larger benchmark is dealt to blocks of about that size by hash: each block comes to the driver, is
+broadcast, looked up in all documents, and its broadcast destroyed when the hits are stored, before the next begins; so
+one block is all that any process holds. Document windows are hashed and looked up in bulk; each hit is verified by
+its words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldmill.llm.shipping import ship
+from fieldmill.llm.storage import step
 from fieldmill.llm.words import ALPHANUMERIC, LOWER, find_words, text_slices
 
-WINDOW = 13
+WINDOW, BLOCK_WINDOWS = 13, 250_000
 _FILTER_BITS = 22
 _SCAN = "n_words long, hits array<struct<start:int,end:int>>, items array<string>"
 
@@ -85,15 +88,17 @@ class WindowSet:
         return found
 
 
-def _scan(batches: Iterator[pa.RecordBatch], shipped, last: bool) -> Iterator[pa.RecordBatch]:
-    """Adds to each row's hits and items what one block of windows finds; the last block drops the text."""
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _scan(batches: Iterator[pa.RecordBatch], shipped) -> Iterator[pa.RecordBatch]:
+    """``(doc, n_words, hits, items)`` of ``(doc, text)``."""
     known: WindowSet = shipped.value
     for batch in batches:
-        doc, text, n_words, hits, items = batch.columns
-        counts = n_words.to_numpy().copy()
-        spans = [[(h["start"], h["end"]) for h in x] for x in hits.to_pylist()]
-        named = [set(x) for x in items.to_pylist()]
-        for low, _, data, offsets in text_slices(text):
+        counts = np.zeros(batch.num_rows, np.int64)
+        spans: list[list] = [[] for _ in range(batch.num_rows)]
+        named: list[set] = [set() for _ in range(batch.num_rows)]
+        for low, _, data, offsets in text_slices(batch.column(1)):
             words = find_words(data, offsets, ALPHANUMERIC, LOWER)
             counts[low : low + words.rows] = words.counts
             found = known.hits(words)
@@ -104,13 +109,22 @@ def _scan(batches: Iterator[pa.RecordBatch], shipped, last: bool) -> Iterator[pa
                 named[low + row].update(names)
         yield pa.RecordBatch.from_arrays(
             [
-                doc,
-                *([] if last else [text]),
+                batch.column(0),
                 pa.array(counts),
-                pa.array([_merged(x) for x in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                pa.array([_merged(x) for x in spans], _SPANS),
                 pa.array([sorted(x) for x in named], pa.list_(pa.string())),
             ],
-            ["doc", *([] if last else ["text"]), "n_words", "hits", "items"],
+            ["doc", "n_words", "hits", "items"],
+        )
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hits of all blocks, merged where they touch."""
+    for batch in batches:
+        spans = [[(h["start"], h["end"]) for hits in x or () for h in hits] for x in batch.column(2).to_pylist()]
+        merged = pa.array([_merged(x) for x in spans], _SPANS)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), merged, batch.column(3)], ["doc", "n_words", "hits", "items"]
         )
 
 
@@ -131,7 +145,7 @@ def scan_benchmark(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    block_windows: int = 1_000_000,
+    block_windows: int = BLOCK_WINDOWS,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """The columns ``keep`` (default: all) of ``docs`` as the struct ``doc``, and what of the benchmark each text holds.
@@ -139,27 +153,45 @@ def scan_benchmark(
     ``n_words``; ``hits``, the word spans (start, end exclusive) covered by occurrences of benchmark windows, merged where
     they touch; ``items``, the ids with an occurring window, sorted as strings. Null and empty texts have no words and no
     hits; repeated rows and repeated items are judged each on their own; an empty benchmark hits nothing. Columns of
-    ``docs`` may have any names. The windows are read block by block: ``block_windows`` at most are broadcast at once.
+    ``docs`` may have any names. With more than ``block_windows`` different windows the documents are stored once and read once
+    for each block of about so many.
     """
     spark = docs.sparkSession
-    scanned = docs.select(
-        F.struct(*[docs[c] for c in (docs.columns if keep is None else keep)]).alias("doc"),
-        docs[text_col].alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<struct<start:int,end:int>>").alias("hits"),
-        F.array().cast("array<string>").alias("items"),
+    ship(spark)
+    rows = docs.select(
+        F.struct(*[docs[c] for c in (docs.columns if keep is None else keep)]).alias("doc"), docs[text_col].alias("text")
+    )
+    kind = rows.schema["doc"].dataType.simpleString()
+    windows = step(benchmark_windows(benchmark, item_col, item_text_col, window), "windows")
+    blocks = -(-windows.count() // block_windows)
+
+    def shipped(block: DataFrame):
+        return spark.sparkContext.broadcast(WindowSet([tuple(row) for row in block.collect()]))
+
+    if blocks <= 1:
+        known = shipped(windows)
+        return rows.mapInArrow(lambda batches: _scan(batches, known), f"doc {kind}, {_SCAN}")
+    rows = step(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = []
+    for k in range(blocks):
+        known = shipped(windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k))
+        scanned = rows.select("row", "text").mapInArrow(lambda batches, known=known: _scan(batches, known), f"doc long, {_SCAN}")
+        found.append(step(scanned if k == 0 else scanned.filter(F.size("hits") > 0), "hits"))
+        known.destroy()
+    every = found[0]
+    for more in found[1:]:
+        every = every.union(more)
+    hits = every.groupBy(F.col("doc").alias("row")).agg(
+        F.max("n_words").alias("n_words"),
+        F.collect_list("hits").alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return (
+        rows.select("row", "doc")
+        .join(hits, "row")
+        .select("doc", "n_words", "hits", "items")
+        .mapInArrow(_joined, f"doc {kind}, {_SCAN}")
     )
-    kind = scanned.schema["doc"].dataType.simpleString()
-    windows = benchmark_windows(benchmark, item_col, item_text_col, window).toLocalIterator()
-    block = [tuple(row) for row in islice(windows, block_windows)]
-    while True:
-        following = [tuple(row) for row in islice(windows, block_windows)]
-        shipped = spark.sparkContext.broadcast(WindowSet(block))
-        schema = f"doc {kind}, {_SCAN}" if not following else f"doc {kind}, text string, {_SCAN}"
-        scanned = scanned.mapInArrow(lambda batches, s=shipped, last=not following: _scan(batches, s, last), schema)
-        if not following:
-            return scanned
-        block = following
 
 
 def judged(scanned: DataFrame, share: int = 20) -> DataFrame:

@@ -48,6 +48,28 @@ def test_agrees_with_plain_search_whatever_the_block_size(spark):
             assert (row["n_words"], row["n_hit"], row["items"], row["contaminated"]) == plain(row["doc"]["text"])
 
 
+def test_one_block_is_broadcast_at_a_time(spark, monkeypatch):
+    docs, benchmark = tables(spark)
+    windows = d.benchmark_windows(benchmark).count()
+    alive, most = [], []
+    broadcast = type(spark.sparkContext).broadcast
+
+    def counted(self, value):
+        shipped = broadcast(self, value)
+        alive.append(len(value.items))
+        most.append(sum(alive))
+        destroy = shipped.destroy
+        shipped.destroy = lambda: (alive.pop(), destroy())
+        return shipped
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    found = d.judged(d.scan_benchmark(docs, benchmark, block_windows=-(-windows // 3))).collect()
+    assert len(most) == 3 and max(most) < windows and not alive
+    assert {(r["doc"]["text"], r["n_hit"], tuple(r["items"])) for r in found} == {
+        (t, plain(t)[1], tuple(plain(t)[2])) for _, t, _ in DOCS
+    }
+
+
 def test_removing_documents_keeps_the_clean_ones_unchanged(spark):
     docs, benchmark = tables(spark)
     kept = d.remove_documents(d.scan_benchmark(docs, benchmark))
