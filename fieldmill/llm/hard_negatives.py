@@ -8,8 +8,9 @@ Scores are integer inner products. Rows are packed into R-trees by sort-tile-rec
 2. *Bounds.* An anchor searches the tree it lies in; its fifth score there bounds those of its positives from below.
 3. *Pruning.* Blocks of anchors meet blocks of root boxes; an anchor goes only to trees whose interval reaches its bound
    (positives) or one of its windows (negatives).
-4. *Search.* A queue per anchor and window takes the box with the highest possible score first and leaves boxes outside the
-   window or strictly below the k-th score found, so that ties still go by id.
+4. *Search.* A queue per anchor and window takes the pages with the highest possible scores first, a few at a time, and
+   leaves boxes outside the window or strictly below the k-th score found, so that ties still go by id. A page's scores
+   are one product for all anchors of a block, made when the first of them asks.
 
 Of rows with one label and one vector only the ``2 + k - 1`` with the smallest ids can be among the first ``k`` others, and
 only those are packed; that is exact, and a vector that a third of all rows share costs no more than another.
@@ -18,7 +19,6 @@ only those are packed; that is exact, and a vector that a third of all rows shar
 from __future__ import annotations
 
 from collections.abc import Iterator
-from heapq import heappop, heappush
 from math import ceil
 
 import numpy as np
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from fieldmill.llm.shipping import ship
 from fieldmill.llm.storage import step
 
-TREE, LEAF, FAN, FIRST = 4096, 64, 8, 5
-ANCHORS, ROOTS = 2048, 512
+TREE, LEAF, FAN, FIRST = 8192, 64, 8, 5
+ANCHORS, ROOTS = 1024, 512
 _EXACT = 1 << 53
 _PACKED = (
     "kind int, dim int, label long, tree long, part int, key long, id long, q array<long>, high array<long>, bound long"
@@ -45,13 +45,14 @@ def _vectors(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), dim)
 
 
-def _computable(*parts: np.ndarray) -> list[np.ndarray]:
-    """The arrays as doubles if all their inner products are exact in doubles, else as Python's integers."""
-    most = 1
-    for part in parts:
-        most *= max((abs(int(part.max())), abs(int(part.min()))), default=0) if part.size else 1
-    exact = most * max(parts[0].shape[1], 1) < _EXACT
-    return [part.astype(np.float64 if exact else object) for part in parts]
+def _largest(part: np.ndarray) -> int:
+    return max(abs(int(part.max())), abs(int(part.min()))) if part.size else 1
+
+
+def _computable(anchors: np.ndarray, *others: np.ndarray) -> list[np.ndarray]:
+    """The arrays as doubles if the inner products of anchors with the others are exact in doubles, else as Python's integers."""
+    most = _largest(anchors) * max(map(_largest, others)) * max(anchors.shape[1], 1)
+    return [part.astype(np.float64 if most < _EXACT else object) for part in (anchors, *others)]
 
 
 def _as_long(scores: np.ndarray) -> np.ndarray:
@@ -105,40 +106,45 @@ class Tree:
         A window is (least, largest) score. Higher scores come first, then smaller ids.
         """
         anchors, vectors, *boxes = _computable(anchors, self.vectors, *(box for level in self.levels for box in level))
-        bounds = [_intervals(anchors, boxes[2 * k], boxes[2 * k + 1]) for k in range(len(self.levels))]
-        top = len(self.levels) - 1
+        lows, highs = _intervals(anchors, boxes[0], boxes[1])
+        pages = lows.shape[1]
+        # a page lies under successive nodes; the boxes above it say what the page's own say, for fewer products
+        fits = [_intervals(anchors, boxes[2 * k], boxes[2 * k + 1]) for k in range(len(self.levels) - 1, 0, -1)]
+        scores, known = np.empty((len(anchors), len(vectors)), anchors.dtype), np.zeros(pages, bool)
         for a, wanted in enumerate(windows):
-            scored: dict[int, tuple] = {}
             for w, (least, largest) in enumerate(wanted):
-                best: list[tuple[int, int]] = []
-                queue: list[tuple] = []
-
-                def add(level: int, node: int) -> None:
-                    low, high = bounds[level][0][a, node], bounds[level][1][a, node]
-                    if low <= largest and high >= least:
-                        heappush(queue, (-min(high, largest), level, node))
-
-                add(top, 0)
-                while queue:
-                    reach, level, node = heappop(queue)
-                    if len(best) == first and -reach < -best[-1][0]:
-                        break
-                    if level:
-                        for child in range(node * self.fan, min((node + 1) * self.fan, len(self.levels[level - 1][0]))):
-                            add(level - 1, child)
-                        continue
-                    if node not in scored:
-                        rows = slice(node * self.leaf, (node + 1) * self.leaf)
-                        scored[node] = _as_long(vectors[rows] @ anchors[a]), self.ids[rows]
-                    scores, ids = scored[node]
-                    bottom = -best[-1][0] if len(best) == first else least
-                    fits = np.flatnonzero((scores >= bottom) & (scores <= largest))
-                    found = [(-int(scores[i]), int(ids[i])) for i in fits]
+                inside = np.ones(1, bool)
+                for low, high in fits:
+                    inside = np.repeat(inside, self.fan)[: low.shape[1]]
+                    inside &= ((low[a] <= largest) & (high[a] >= least)).astype(bool)
+                inside = np.flatnonzero(np.repeat(inside, self.fan if fits else 1)[:pages])
+                inside = inside[((lows[a, inside] <= largest) & (highs[a, inside] >= least)).astype(bool)]
+                reach = np.minimum(highs[a, inside], largest)
+                queue = np.argsort(-reach, kind="stable")
+                inside, reach = inside[queue], reach[queue]
+                best_scores, best_ids = np.empty(0, anchors.dtype), np.empty(0, np.int64)
+                bottom, taken, some = least, 0, 2
+                while taken < len(inside) and (len(best_ids) < first or reach[taken] >= bottom):
+                    some, now = 2 * some, inside[taken : taken + some]
+                    taken += len(now)
+                    for page in now[~known[now]].tolist():
+                        rows = slice(page * self.leaf, (page + 1) * self.leaf)
+                        scores[:, rows] = _as_long(anchors @ vectors[rows].T)
+                        known[page] = True
+                    rows = (now[:, None] * self.leaf + np.arange(self.leaf)).ravel()
+                    rows = rows[rows < len(vectors)]
+                    own_scores = scores[a, rows]
+                    rows = rows[((own_scores >= bottom) & (own_scores <= largest)).astype(bool)]
+                    best_scores, best_ids = np.append(best_scores, scores[a, rows]), np.append(best_ids, self.ids[rows])
                     if own[a] is not None:
-                        found = [f for f in found if f[1] != own[a]]
-                    best = sorted(best + found)[:first]
-                for score, row in best:
-                    yield a, w, -score, row
+                        other = best_ids != own[a]
+                        best_scores, best_ids = best_scores[other], best_ids[other]
+                    order = np.lexsort((best_ids, -best_scores))[:first]
+                    best_scores, best_ids = best_scores[order], best_ids[order]
+                    if len(best_ids) == first:
+                        bottom = best_scores[-1]
+                for score, row in zip(best_scores.tolist(), best_ids.tolist()):
+                    yield a, w, int(score), row
 
 
 _ALL = (-(1 << 200), 1 << 200)
@@ -232,7 +238,7 @@ def _met(anchors: pa.Table, roots: pa.Table, same_label: bool) -> pa.Table:
     least, most = _intervals(q, low, high)
     labels = anchors.column("label").to_numpy()[:, None] == roots.column("label").to_numpy()[None, :]
     if same_label:
-        bound = np.array([_ALL[0] if b is None else b for b in anchors.column("bound").to_pylist()], object)
+        bound = np.array([_ALL[0] if b is None else b for b in anchors.column("bound").to_pylist()], most.dtype)
         fits = labels & (most >= bound[:, None]).astype(bool)
     else:
         fits = np.zeros(least.shape, bool)
