@@ -55,10 +55,10 @@ PATTERN_RULES = (
     PatternRule("spam farm", r"(?i)://[^/?#]*\bspam[-.]farm\b", ("spam", "farm")),
     PatternRule("casino", r"(?i)://[^/?#]*\bcasino\b", ("casino",)),
     PatternRule("poker", r"(?i)\bpoker[-./]", ("poker",)),
-    PatternRule("adult", r"(?i)://[^/?#]*\b(?:xxx|porn)\b", ()),
+    PatternRule("adult", r"(?i)://[^/?#]*\b(?:xxx|porn)\b", (), ("xxx", "porn")),
     PatternRule("malware", r"(?i)\bmalware[-.](?:download|host)\b", ("malware",)),
     PatternRule("warez", r"(?i)\bwarez\b", ("warez",)),
-    PatternRule("tracker", r"(?i)[?&]click_?id=[0-9a-f]{16,}", ()),
+    PatternRule("tracker", r"(?i)[?&]click_?id=[0-9a-f]{16,}", (), ("click", "clickid")),
     PatternRule("session link", r"(?i)[?&;]jsessionid=[0-9a-f]{8,}", ("jsessionid",)),
 )
 
@@ -94,7 +94,7 @@ def url_tokens(url: Column) -> Column:
 
 
 def token_index(pages: DataFrame, rules: tuple[PatternRule, ...], url_col: str = "url") -> dict[str, list[PatternRule]]:
-    """Each rule under its token that the fewest URLs hold, or under every one of ``one_of``; others under the empty string.
+    """Each rule under its token that the fewest URLs hold, or under every one of ``one_of``. A rule with neither is tried on all URLs.
 
     Ties go to the first in alphabetical order. One count over all URLs, of the rules' own tokens only.
     """

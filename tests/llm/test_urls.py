@@ -46,7 +46,8 @@ def test_rules_lie_under_their_rarest_token(spark):
     pages = spark.createDataFrame([("http://spam.a/",), ("http://spam.b/farm",), ("http://c/cheap",)], "url string")
     index = urls.token_index(pages, urls.PATTERN_RULES)
     assert "spam farm" in [r.name for r in index["farm"]] and "pills" in [r.name for r in index["pills"]]
-    assert {r.name for r in index[""]} == {"adult", "tracker"}
+    assert "" not in index and all(rule.tokens or rule.one_of for rule in urls.PATTERN_RULES)
+    assert urls.token_index(pages, (urls.PatternRule("any", "a", ()),)) == {"": [urls.PatternRule("any", "a", ())]}
     with pytest.raises(ValueError, match="pattern rules"):
         urls.token_index(pages, urls.PATTERN_RULES * 2000)
 
