@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from fieldmill.llm import licenses
@@ -34,6 +36,76 @@ def test_changed_repeated_and_missing_notices(spark):
     assert rows[n + 3]["matches"] == [] and rows[n + 3]["n_words"] == 5000
 
 
+def plain_alignment(template, words):
+    """The best local alignment of whole sequences: match 2, else -1."""
+    best, before = (0, 0), [(0, 0)] * (len(words) + 1)
+    for wanted in template:
+        row = [(0, 0)]
+        for j, word in enumerate(words, 1):
+            score, n = before[j - 1]
+            options = [(0, 0), (score + (2 if word == wanted else -1), n + (word == wanted))]
+            options += [(other[0] - 1, other[1]) for other in (before[j], row[j - 1])]
+            row.append(max(o if o[0] > 0 else (0, 0) for o in options))
+        best, before = max([best, *row]), row
+    return best[1]
+
+
+def test_banded_alignment_agrees_with_a_whole_one():
+    draw = random.Random(5)
+    for _ in range(200):
+        template = [draw.randrange(12) for _ in range(draw.randint(5, 25))]
+        words = [w if draw.random() > 0.15 else draw.randrange(12) for w in template if draw.random() > 0.08]
+        assert licenses.banded_alignment(template, words, 0, 30)[0] == plain_alignment(template, words)
+
+
+def test_single_word_edits_of_short_notices_are_found(spark):
+    cases = []
+    for name, text in licenses.TEMPLATES.items():
+        words = letter_words(text)
+        if len(words) < licenses.SHORT:
+            for i in range(len(words)):
+                cases += [(name, [*words[:i], "zz", *words[i + 1 :]]), (name, [*words[:i], *words[i + 1 :]]), (name, [*words[:i], "zz", *words[i:]])]
+    rows = found(spark, [f"{prose(9, 12)} {' '.join(words)} {prose(8, 12)}" for _, words in cases])
+    for i, (name, words) in enumerate(cases):
+        kept = plain_alignment(letter_words(licenses.TEMPLATES[name]), words) / len(letter_words(licenses.TEMPLATES[name]))
+        named = {m["license"]: m["coverage"] for m in rows[i]["matches"]}
+        assert (name in named) == (kept >= 0.8) and named.get(name, kept) == kept, (name, words)
+
+
+def test_a_fifth_of_the_words_of_long_notices_may_differ(spark):
+    draw, cases = random.Random(6), []
+    for name, text in licenses.TEMPLATES.items():
+        words = letter_words(text)
+        if len(words) >= licenses.SHORT:
+            for _ in range(4):
+                own = list(words)
+                for i in draw.sample(range(len(own)), len(own) // 5):
+                    own[i] = f"zz{i}"
+                if plain_alignment(words, own) >= 0.8 * len(words):
+                    cases.append((name, own))
+    rows = found(spark, [" ".join(own) for _, own in cases])
+    assert len(cases) > 10
+    for i, (name, _) in enumerate(cases):
+        # where the words that tell two licenses apart are gone, the other may fit better
+        alike = {n for n in licenses.TEMPLATES if n == name or ("GPL" in n and "GPL" in name)}
+        assert alike & {m["license"] for m in rows[i]["matches"]}, name
+
+
+def test_a_notice_is_the_license_it_fits_best(spark):
+    texts = [licenses.TEMPLATES[n] for n in ("LGPL header", "AGPL header", "GPL header", "BSD-2-Clause", "BSD-3-Clause")]
+    rows = found(spark, texts)
+    named = [{m["license"] for m in rows[i]["matches"]} for i in range(5)]
+    assert named[0] == {"LGPL header", "LGPL opening"} and named[1] == {"AGPL header", "AGPL opening"}
+    assert named[2] == {"GPL header", "GPL opening"}
+    assert named[3] == {"BSD-2-Clause", "BSD opening"} and named[4] == {"BSD-3-Clause", "BSD opening"}
+
+
+def test_a_long_text_of_one_phrase(spark):
+    rows = found(spark, ["you may obtain a copy of " * 8_000, "released under the mit license " * 300])
+    assert rows[0]["matches"] == []
+    assert [(m["license"], m["start"]) for m in rows[1]["matches"]] == [("MIT", 5 * i) for i in range(300)]
+
+
 def test_the_bundled_documents(spark):
     """The index finds every whole notice that a plain search finds, and no document without one."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
