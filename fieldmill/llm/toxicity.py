@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldmill.llm.shipping import ship
+from fieldmill.llm.words import small_batches
 from fieldmill.sources.shared import stored
 
 SAMPLE_ROWS, LEXICON_SIZE, EXCEPTION_SIZE = 20_000, 20_000, 5_000
@@ -118,7 +120,7 @@ def _features(measured: list[tuple[int, int, float]]) -> np.ndarray:
 
 
 def _entry_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches, 0):
         entries, toxic = [], []
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             own = {e for word in set(folded(text).split()) for e in _entries(word)}
@@ -163,15 +165,24 @@ def learn(
     text_col: str = "text",
     label_col: str = "toxic",
     sample_rows: int = SAMPLE_ROWS,
+    lexicon_size: int = LEXICON_SIZE,
+    exception_size: int = EXCEPTION_SIZE,
+    least_texts: int = 3,
 ) -> ToxicityModel:
     """Learn lexicon, exceptions and calibration from labelled texts.
 
     At most ``sample_rows`` labels are used, those with the smallest hashes of their ids, so the sample of labels
     may be sent to every task; rows with a null id or label aren't used, a doubly labelled id counts as toxic if
     one label says so. An entry is taken if its share of toxic texts is higher than chance explains, given how
-    many entries were looked at. Without both kinds of labels the default model is returned.
+    many entries were looked at. Without both kinds of labels the default model is returned. Of several texts of one
+    labelled id the first in order is used, so no more than ``sample_rows`` texts are ever stored or measured.
+
+    The model goes to every task, so its size has a bound: the ``lexicon_size`` entries with most evidence and the
+    ``exception_size`` most frequent innocent words that begin with one. Entries are words, or their beginnings of 3 to 9
+    letters, of at least ``least_texts`` sampled texts.
     """
     spark = docs.sparkSession
+    ship(spark)
     sample = (
         labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("toxic"))
         .dropna()
@@ -181,7 +192,8 @@ def learn(
         .limit(sample_rows)
     )
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).dropna()
-    texts = stored(texts.join(F.broadcast(sample), "id").select("text", "toxic"), "labelled")
+    texts = texts.join(F.broadcast(sample), "id").groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    texts = stored(texts.select("text", "toxic"), "labelled")
     kinds = {row["toxic"]: row["count"] for row in texts.groupBy("toxic").count().collect()}
     positive, negative = kinds.get(1, 0), kinds.get(0, 0)
     if not positive or not negative:
@@ -190,7 +202,7 @@ def learn(
         texts.mapInArrow(_entry_rows, "entry string, toxic int")
         .groupBy("entry")
         .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
-        .filter("n1 + n0 >= 3")
+        .filter(F.col("n1") + F.col("n0") >= least_texts)
     )
     counts = stored(counts, "entries")
     tried = counts.count()
@@ -204,17 +216,17 @@ def learn(
         .withColumn("evidence", evidence)
         .filter(F.col("evidence") > math.log(max(tried, 2)))
         .orderBy(F.desc("evidence"), F.length("entry"), "entry")
-        .limit(LEXICON_SIZE)
+        .limit(lexicon_size)
     )
     lexicon = _chosen(found.collect(), positive, negative) or default_model().lexicon
     chosen = spark.createDataFrame([(e,) for e in lexicon], "chosen string")
     begins = F.explode(F.transform(F.sequence(F.lit(_SHORTEST + 1), F.length("entry")), lambda k: F.substring(F.col("entry"), F.lit(1), k)))
     innocent = (
-        counts.filter("n1 = 0 and n0 >= 3 and length(entry) > 4")
+        counts.filter("n1 = 0 and length(entry) > 4")
         .select("entry", "n0", begins.alias("chosen"))
         .join(F.broadcast(chosen), "chosen")
         .orderBy(F.desc("n0"), "entry")
-        .limit(EXCEPTION_SIZE)
+        .limit(exception_size)
     )
     exceptions = sorted({row["entry"].strip() for row in innocent.collect()} | set(DEFAULT_EXCEPTIONS))
     model = ToxicityModel(lexicon, exceptions)
@@ -228,7 +240,7 @@ def learn(
 def _measure(batches: Iterator[pa.RecordBatch], shipped) -> Iterator[pa.RecordBatch]:
     model = shipped.value
     automaton = model.automaton()
-    for batch in batches:
+    for batch in small_batches(batches, 1):
         measured = [_matched(text, automaton) for text in batch.column(1).to_pylist()]
         words, hits, weight = zip(*measured) if measured else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -249,6 +261,7 @@ def measure(docs: DataFrame, model: ToxicityModel, keep: list[str], text_col: st
     Null and empty texts have no words and get the score of a text without matches. Repeated rows each get
     their score; columns of ``docs`` may have any names.
     """
+    ship(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("doc"), docs[text_col].alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
@@ -260,12 +273,13 @@ def measure(docs: DataFrame, model: ToxicityModel, keep: list[str], text_col: st
 def _clean(batches: Iterator[pa.RecordBatch], shipped, text_at: int, threshold: float) -> Iterator[pa.RecordBatch]:
     model = shipped.value
     automaton = model.automaton()
-    for batch in batches:
+    for batch in small_batches(batches, text_at):
         scores = model.score(_features([_matched(text, automaton) for text in batch.column(text_at).to_pylist()]))
         yield batch.filter(pa.array(scores < threshold))
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows that score below ``threshold``, all columns unchanged."""
+    ship(docs.sparkSession)
     shipped, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
     return docs.mapInArrow(lambda batches: _clean(batches, shipped, at, threshold), docs.schema)

@@ -67,3 +67,34 @@ def test_gradients_are_those_of_the_loss():
             down = loss()
             p[place] = before
             assert abs((up - down) / (2 * eps) - g[place]) < 5e-3
+
+
+def plain_scores(net, text, window):
+    """Probabilities of the languages by sliding every filter over every place of every window."""
+    data, total, used = text.encode(), np.zeros(len(net.languages)), 0
+    for low in range(0, len(data), window):
+        part = data[low : low + window]
+        embedded = net.embedding[list(part.ljust(window, b"\0"))].astype(float)
+        pooled = []
+        for width, bank, bias in zip(langid.WIDTHS, net.filters, net.biases):
+            responses = [embedded[j : j + width].ravel() @ bank for j in range(window - width + 1)]
+            pooled.append(np.maximum(np.max(responses, axis=0) + bias, 0))
+        scores = np.concatenate(pooled) @ net.output + net.output_bias
+        held = len(part) - part.count(0)
+        total += held * (scores - scores.max() - np.log(np.exp(scores - scores.max()).sum()))
+        used += held
+    shares = np.exp(total / max(used, 1) - (total / max(used, 1)).max())
+    return shares / shares.sum()
+
+
+def test_whole_texts_against_a_plain_pass(spark):
+    net = langid._new_net(["aa", "bb", "cc"], np.random.default_rng(2))
+    texts = [*AWKWARD, "kala tunturi " * 150, "ä漢" * 200, "x", "a\0b" * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.identify(docs, net, ["doc_id", "text"]).collect():
+        text = r["doc"]["text"] or ""
+        if r["lang_pred"] == "und":
+            assert r["score"] == 0 and not any(c.isalpha() for c in text)
+        else:
+            shares = plain_scores(net, text, langid.WINDOW)
+            assert abs(r["score"] - shares.max()) < 1e-4 and shares[net.languages.index(r["lang_pred"])] > shares.max() - 1e-4

@@ -76,3 +76,41 @@ def test_query_finds_held_out_toxic_texts_in_the_language_of_the_lexicon(spark):
     assert sum(r["predicted"] for r in rows if not r["toxic"]) <= 2
     toxic = [r["predicted"] for r in rows if r["toxic"]]
     assert np.mean(toxic) > 0.55
+
+
+def plain_matches(text, model):
+    """(matches, weight) by trying every entry at every place of the folded text."""
+    content = toxicity.folded(text)
+    covered = [
+        (i, i + len(entry) - 1)
+        for entry in {toxicity.folded(phrase).rstrip() for phrase in model.exceptions} - set(model.lexicon)
+        for i in range(len(content))
+        if content.startswith(entry, i)
+    ]
+    best = {}
+    for i in range(len(content)):
+        if not any(a <= i < b for a, b in covered):
+            weights = [weight for entry, weight in model.lexicon.items() if content.startswith(entry, i)]
+            if weights:
+                best[i] = max(weights)
+    return len(best), sum(best.values())
+
+
+def test_whole_texts_against_a_plain_matcher(spark):
+    draw = np.random.default_rng(7)
+    words = ["idiot", "1diots", "moron", "trash", "can", "trashcan", "clown", "fish", "class", "ok", "scum", "scumbag", "Idi0t!", "the"]
+    texts = [*AWKWARD, *(" ".join(draw.choice(words, draw.integers(1, 60))) for _ in range(200)), "trash " * 20_000]
+    model = toxicity.ToxicityModel({" idiot": 3.0, " idiots ": 4.5, " moron ": 2.0, " trash": 1.0, " clown": 0.5, " scum": 2.5})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.measure(docs, model, ["doc_id", "text"]).collect():
+        if len(r["doc"]["text"] or "") < 10_000:
+            assert (r["n_matches"], r["weight"]) == pytest.approx(plain_matches(r["doc"]["text"], model))
+        else:
+            assert (r["n_matches"], r["weight"]) == (20_000, 20_000.0)
+
+
+def test_an_id_with_many_texts_is_one_labelled_text(spark):
+    docs, labels = labelled(spark)
+    once = toxicity.learn(docs, labels)
+    again = toxicity.learn(docs.union(docs.withColumn("text", F.concat("text", F.lit(" zz")))).union(docs), labels)
+    assert again.lexicon == once.lexicon
