@@ -10,10 +10,12 @@ last). The steps, all joins and aggregations over short rows:
    are the same in all its occurrences.
 3. *Compaction.* Within a document, successive repeated edges with the same source and no branch between
    them are one path: one row ``(document, start, length, source, source start)``.
-4. *Verification.* The words at both coordinates of a path are compared by digest; what differs is dropped.
+4. *Verification.* The words at both coordinates of a path are compared by digest. Where they differ, two windows share a
+   hash: all occurrences of that path's hashes are then grouped by the digest of their words, window by window.
 
-Grouped minima combine before their shuffle and the joins are plain ones that adaptive execution may
-split, so a line that a third of all documents share is no single task's burden.
+Grouped minima combine before their shuffle. The edges that repeat are stored before all windows are joined with them, so
+both sides of that join are shuffles and adaptive execution may split it: a line that a third of all documents
+share is no single task's burden.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldmill.llm.shipping import ship
 from fieldmill.llm.storage import step
 from fieldmill.llm.words import UNSPACED, Words, as_signed, find_words, mix, text_slices
 
@@ -74,7 +77,7 @@ def _seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterato
             )
 
 
-def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def _edges(batches: Iterator[pa.RecordBatch], window: int, bits: int) -> Iterator[pa.RecordBatch]:
     """A row for each candidate window: its hash, and a short hash of the windows before and after it."""
     for batch in batches:
         runs = batch.column(3)
@@ -83,7 +86,7 @@ def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
             words = find_words(data, offsets, UNSPACED)
             at, hashes = words.windows(window)
             edge = np.zeros(len(words.hashes) + 1, np.uint64)
-            edge[at] = hashes
+            edge[at] = np.maximum(hashes >> np.uint64(64 - bits), 1)
             values = run_values[run_first[low] : run_first[high]]
             row = np.repeat(np.arange(words.rows), np.diff(run_first[low : high + 1]))
             first = (values >> 32) + words.first[row]
@@ -155,10 +158,9 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc, uid, text)``: rows with the same id and text share a ``uid`` and are treated alike."""
-    return docs.select(
-        docs[id_col].alias("doc"), F.xxhash64(docs[id_col], docs[text_col]).alias("uid"), docs[text_col].alias("text")
-    )
+    """``(doc, uid, text)``: rows with the same id and text share a ``uid``, a digest of 128 bits, and are treated alike."""
+    both = F.to_json(F.struct(docs[id_col].alias("id"), F.md5(docs[text_col].cast("binary")).alias("text")))
+    return docs.select(docs[id_col].alias("doc"), F.unhex(F.md5(both.cast("binary"))).alias("uid"), docs[text_col].alias("text"))
 
 
 def copies(rows: DataFrame) -> DataFrame:
@@ -183,37 +185,54 @@ def candidate_texts(rows: DataFrame, copied: DataFrame, window: int = WINDOW, se
     )
     shared = seeds.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a <> b").select("seed")
     runs = seeds.join(shared, "seed").groupBy("doc").agg(F.collect_list("run").alias("runs"))
-    texts = rows.join(runs, "doc")
+    # the copies of an id meet its runs, not its texts, which so are shuffled by id only
+    held = copied.groupBy("doc").agg(F.collect_set("uid").alias("copies"))
+    texts = rows.join(runs.join(held, "doc", "left"), "doc")
     order = Window.partitionBy("doc").orderBy("uid")
     numbered = texts.withColumn("variant", F.dense_rank().over(order)).withColumn("before", F.lag("uid").over(order))
     single = numbered.filter("before is null or before <> uid")
-    return single.join(copied.select("uid"), "uid", "left_anti").select("doc", "variant", "uid", "text", "runs")
-
+    own = F.coalesce(F.array_contains("copies", F.col("uid")), F.lit(False))
+    return single.filter(~own).select("doc", "variant", "uid", "text", "runs")
 
-def repeated_paths(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Paths of repeated windows in ``candidate_texts``: ``(doc, variant, start, n, source, source_start)``.
 
-    ``start`` and ``n`` count words; the same ``n`` words begin at ``source_start`` of the source, which has a smaller id.
-    """
+def window_edges(texts: DataFrame, window: int = WINDOW, bits: int = 64) -> DataFrame:
+    """``(doc, variant, edge, pos, around)``: the candidate windows of ``candidate_texts``, hashed to ``bits`` bits."""
     kind = texts.schema["doc"].dataType.simpleString()
-    edges = texts.select("doc", "variant", "text", "runs").mapInArrow(
-        lambda batches: _edges(batches, window), f"doc {kind}, variant int, edge long, pos int, around int"
+    return texts.select("doc", "variant", "text", "runs").mapInArrow(
+        lambda batches: _edges(batches, window, bits), f"doc {kind}, variant int, edge long, pos int, around int"
     )
+
+
+def repeated_edges(edges: DataFrame) -> DataFrame:
+    """``(edge, source, branches)`` of the edges that two documents have: first coordinate, and whether neighbours differ."""
     known = edges.groupBy("edge").agg(
         F.min(F.struct("doc", "pos")).alias("source"),
         F.max("doc").alias("last"),
         F.min("around").alias("least"),
         F.max("around").alias("most"),
     )
-    known = known.filter(F.col("source.doc") < F.col("last")).select(
+    return known.filter(F.col("source.doc") < F.col("last")).select(
         "edge", "source", (F.col("least") != F.col("most")).alias("branches")
     )
-    later = (
+
+
+def later_edges(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """``(doc, variant, pos, source, branches)`` of the windows that a smaller id has too; ``known`` is stored."""
+    return (
         edges.select("doc", "variant", "edge", "pos")
         .join(known, "edge")
         .filter(F.col("source.doc") < F.col("doc"))
         .select("doc", "variant", "pos", "source", "branches")
     )
+
+
+def repeated_paths(texts: DataFrame, window: int = WINDOW, bits: int = 64) -> DataFrame:
+    """Paths of repeated windows in ``candidate_texts``: ``(doc, variant, start, n, source, source_start)``.
+
+    ``start`` and ``n`` count words; the same ``n`` words begin at ``source_start`` of the source, which has a smaller id.
+    """
+    edges = window_edges(texts, window, bits)
+    later = later_edges(edges, step(repeated_edges(edges), "edges"))
     order = Window.partitionBy("doc", "variant").orderBy("pos")
     previous = F.lag(F.struct("pos", "source", "branches")).over(order)
     goes_on = (
@@ -238,30 +257,56 @@ def repeated_paths(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def verified(paths: DataFrame, texts: DataFrame) -> DataFrame:
-    """The paths whose words equal those at their source."""
+def _digested(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(doc, variant, uid, start, n, digest)``: the words of ``places(doc, span)`` in every text of that id."""
     kind = texts.schema["doc"].dataType.simpleString()
-    places = paths.select("doc", F.struct("start", "n").alias("span")).union(
-        paths.select(F.col("source").alias("doc"), F.struct(F.col("source_start").alias("start"), "n").alias("span"))
-    )
     asked = places.groupBy("doc").agg(F.collect_set("span").alias("spans"))
     digests = texts.select("doc", "variant", "uid", "text").join(asked, "doc").select(
         F.struct("doc", "variant", "uid").alias("key"), "text", "spans"
     )
     digests = digests.mapInArrow(
-        _digests, f"key struct<doc:{kind},variant:int,uid:bigint>, start int, n int, digest binary"
+        _digests, f"key struct<doc:{kind},variant:int,uid:binary>, start int, n int, digest binary"
     )
-    digests = step(digests.select("key.*", "start", "n", "digest"), "digests")
+    return step(digests.select("key.*", "start", "n", "digest"), "digests")
+
+
+def verified(paths: DataFrame, texts: DataFrame) -> DataFrame:
+    """The paths with ``uid``, and ``same``: whether their words equal those at their source."""
+    places = paths.select("doc", F.struct("start", "n").alias("span")).union(
+        paths.select(F.col("source").alias("doc"), F.struct(F.col("source_start").alias("start"), "n").alias("span"))
+    )
+    digests = _digested(places, texts)
     source = digests.select(F.col("doc").alias("source"), F.col("start").alias("source_start"), "n", "digest").distinct()
     return (
         paths.join(digests, ["doc", "variant", "start", "n"])
-        .join(source, ["source", "source_start", "n", "digest"])
-        .select("doc", "uid", "start", "n", "source", "source_start")
+        .join(source.withColumn("same", F.lit(True)), ["source", "source_start", "n", "digest"], "left")
+        .select("doc", "variant", "uid", "start", "n", "source", "source_start", F.coalesce("same", F.lit(False)).alias("same"))
+    )
+
+
+def _window_by_window(failed: DataFrame, texts: DataFrame, window: int, bits: int) -> DataFrame:
+    """Repeats among all windows whose hash occurs in the ``failed`` paths, found by the digest of their words."""
+    edges = window_edges(texts, window, bits).select("doc", "variant", "edge", "pos")
+    at = failed.select("doc", "variant", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - window)).alias("pos"))
+    hashes = step(edges.join(at, ["doc", "variant", "pos"]).select("edge").distinct(), "hashes")
+    occurrences = step(edges.join(hashes, "edge").select("doc", "variant", F.col("pos").alias("start")), "occurrences")
+    places = occurrences.select("doc", F.struct("start", F.lit(window).alias("n")).alias("span"))
+    digests = _digested(places, texts).join(occurrences, ["doc", "variant", "start"])
+    first = digests.groupBy("digest").agg(F.min(F.struct("doc", "start")).alias("source"))
+    return (
+        digests.join(first, "digest")
+        .filter(F.col("source.doc") < F.col("doc"))
+        .select("doc", "uid", "start", "n", F.col("source.doc").alias("source"), F.col("source.start").alias("source_start"))
     )
 
 
 def repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    seed: int = SEED,
+    bits: int = 64,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Verified repeated spans of ``docs``, the stored texts they lie in, and the whole copies ``(doc, uid)``.
 
@@ -269,20 +314,26 @@ def repeated_spans(
     in a document with a smaller id (the source). Null and short texts have none; rows without an id take no
     part; rows that share an id never count as repeats of each other; a text that repeats itself isn't a
     repeat either. Other columns are ignored. Equal spans of many documents all name the smallest id. A text equal
-    to one with a smaller id isn't among the spans but among the copies: all its windows repeat.
+    to one with a smaller id isn't among the spans but among the copies: all its windows repeat. Windows are hashed to
+    ``bits`` bits; fewer cost time, not results.
     """
+    ship(docs.sparkSession)
     rows = identified(docs, id_col, text_col)
     copied = step(copies(rows), "copies")
     texts = step(candidate_texts(rows, copied, window, seed), "texts")
-    paths = step(repeated_paths(texts, window), "paths")
-    return verified(paths, texts), texts, copied
+    paths = step(verified(step(repeated_paths(texts, window, bits), "paths"), texts), "verified")
+    spans = paths.filter("same").select("doc", "uid", "start", "n", "source", "source_start")
+    failed = paths.filter("not same")
+    if not failed.isEmpty():
+        spans = spans.union(_window_by_window(failed, texts, window, bits))
+    return spans, texts, copied
 
 
 def kept_texts(spans: DataFrame, texts: DataFrame) -> DataFrame:
     """``(uid, n_words, n_removed, kept)`` of the texts that lose words, one row per uid."""
     cut = spans.groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     rows = texts.select("uid", "text").join(cut, "uid").dropDuplicates(["uid"])
-    return rows.mapInArrow(_kept, "key long, n_words long, n_removed long, kept string").withColumnRenamed("key", "uid")
+    return rows.mapInArrow(_kept, "key binary, n_words long, n_removed long, kept string").withColumnRenamed("key", "uid")
 
 
 def whole_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,5 +342,5 @@ def whole_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kind = rows.schema["doc"].dataType.simpleString()
     whole = rows.select(F.struct("doc", "uid").alias("key"), "text", F.array().cast("array<struct<start:int,n:int>>").alias("s"))
     return whole.mapInArrow(
-        _kept, f"key struct<doc:{kind},uid:bigint>, n_words long, n_removed long, kept string"
+        _kept, f"key struct<doc:{kind},uid:binary>, n_words long, n_removed long, kept string"
     ).select("key.doc", "key.uid", "n_words", "kept")

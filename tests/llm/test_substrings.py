@@ -72,3 +72,50 @@ def test_spans_name_their_source_and_no_text_is_empty_table(spark):
         assert own == words[r["source"]][r["source_start"] : r["source_start"] + r["n"]] and r["source"] < r["doc"]
     assert {r["doc"] for r in copied.collect()} == {len(AWKWARD) + 1}
     assert substrings.repeated_spans(docs.limit(0))[0].count() == 0
+
+
+def test_windows_that_share_a_hash_are_told_apart(spark):
+    near = [prose(k, 30) + " " + PASSAGE.replace(PASSAGE.split()[k * 4], "y", 1) for k in range(12)]
+    rows = list(enumerate([*TEXTS, *near, *near[:3], *(PASSAGE + f" {k}" for k in range(5))]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    covered = []
+    for bits in (64, 7):
+        spans, _, copied = substrings.repeated_spans(docs, bits=bits)
+        hit = {(r["doc"], i) for r in spans.collect() for i in range(r["start"], r["start"] + r["n"])}
+        covered.append((hit, {r["doc"] for r in copied.collect()}))
+    assert covered[0] == covered[1] and covered[0][0]
+    lost = {(doc, n) for doc, _, n, _ in plain(rows) if n}
+    assert {(doc, sum(d == doc for d, _ in covered[0][0])) for doc, _ in covered[0][0]} | {
+        (doc, len(spaced_words(rows[doc][1]))) for doc in covered[0][1] if len(spaced_words(rows[doc][1])) >= 13
+    } == lost
+
+
+def test_a_line_that_all_texts_share_is_split(spark):
+    line = prose(77, 14)
+    docs = spark.createDataFrame([(i, f"{prose(i, 20)} {line} {i}") for i in range(3_000)], "doc_id long, text string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.files.maxPartitionBytes": "32k",
+        "spark.sql.files.openCostInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = substrings.identified(docs)
+        texts = substrings.candidate_texts(rows, substrings.copies(rows)).repartition(12)
+        texts = substrings.step(texts, "texts")
+        edges = substrings.window_edges(texts)
+        known = substrings.step(substrings.repeated_edges(edges), "edges")
+        later = substrings.later_edges(edges, known)
+        assert later.count() >= 2 * 2_999
+        later.collect()
+        assert "skew=true" in later._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
