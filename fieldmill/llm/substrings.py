@@ -9,13 +9,15 @@ last). The steps, all joins and aggregations over short rows:
 2. *Edges.* Per edge: its first source coordinate (smallest id, then position) and whether its neighbours
    are the same in all its occurrences.
 3. *Compaction.* Within a document, successive repeated edges with the same source and no branch between
-   them are one path: one row ``(document, start, length, source, source start)``.
-4. *Verification.* The words at both coordinates of a path are compared by digest. Where they differ, two windows share a
-   hash: all occurrences of that path's hashes are then grouped by the digest of their words, window by window.
+   them are one path; paths that go on at the same source are one span: one row
+   ``(document, start, length, source, source start)``.
+4. *Verification.* The words at both coordinates of a span are compared by digest. Where they differ, two windows share a
+   hash: all occurrences of that span's hashes are then grouped by the digest of their words, window by window.
 
 Grouped minima combine before their shuffle. The edges that repeat are stored before all windows are joined with them, so
 both sides of that join are shuffles and adaptive execution may split it: a line that a third of all documents
-share is no single task's burden.
+share is no single task's burden. Spans that more than one in ``HEAVY`` of all spans equal are judged by a broadcast of
+their digests, of which there are fewer than ``HEAVY``.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from fieldmill.llm.storage import step
 from fieldmill.llm.words import UNSPACED, Words, as_signed, find_words, mix, text_slices
 
 WINDOW, SEED = 13, 5
+HEAVY = 1000
 _HALF = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,8 +80,19 @@ def _seeds(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterato
             )
 
 
+def _first_places(edges: np.ndarray, row: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """The position at which each edge occurs first in its row; rows and positions ascend."""
+    order = np.argsort(edges, kind="stable")
+    sorted_edges, sorted_row = edges[order], row[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (sorted_edges[1:] != sorted_edges[:-1]) | (sorted_row[1:] != sorted_row[:-1])
+    first = np.empty(len(order), pos.dtype)
+    first[order] = pos[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return first
+
+
 def _edges(batches: Iterator[pa.RecordBatch], window: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """A row for each candidate window: its hash, and a short hash of the windows before and after it."""
+    """A row for each candidate window: its hash, where its text has it first, and a short hash of its neighbours."""
     for batch in batches:
         runs = batch.column(3)
         run_first, run_values = runs.offsets.to_numpy(), runs.values.to_numpy()
@@ -101,20 +115,22 @@ def _edges(batches: Iterator[pa.RecordBatch], window: int, bits: int) -> Iterato
             row = np.searchsorted(words.first, pick, side="right") - 1
             before[words.first[:-1]] = 0
             take = pa.array(row + low)
+            pos = (pick - words.first[row]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(take),
                     batch.column(1).take(take),
                     as_signed(edge[pick]),
-                    pa.array(pick - words.first[row], pa.int64()).cast(pa.int32()),
+                    pa.array(pos),
+                    pa.array(_first_places(edge[pick], row, pos)),
                     pa.array(mix(before[pick] ^ (after[pick] * _HALF)).astype(np.uint32).view(np.int32)),
                 ],
-                ["doc", "variant", "edge", "pos", "around"],
+                ["doc", "variant", "edge", "pos", "first", "around"],
             )
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """SHA-256 of the words of each asked span."""
+    """A digest of 128 bits of the words of each asked span."""
     for batch in batches:
         row, start, n, digest = [], [], [], []
         for k, (text, spans) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
@@ -124,7 +140,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 start.append(span["start"])
                 n.append(span["n"])
                 own = b" ".join(words[span["start"] : span["start"] + span["n"]])
-                digest.append(hashlib.sha256(own).digest())
+                digest.append(hashlib.blake2b(own, digest_size=16).digest())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(pa.array(row, pa.int64())),
@@ -196,64 +212,76 @@ def candidate_texts(rows: DataFrame, copied: DataFrame, window: int = WINDOW, se
 
 
 def window_edges(texts: DataFrame, window: int = WINDOW, bits: int = 64) -> DataFrame:
-    """``(doc, variant, edge, pos, around)``: the candidate windows of ``candidate_texts``, hashed to ``bits`` bits."""
+    """``(doc, variant, edge, pos, first, around)``: the candidate windows of ``candidate_texts``, hashed to ``bits`` bits."""
     kind = texts.schema["doc"].dataType.simpleString()
     return texts.select("doc", "variant", "text", "runs").mapInArrow(
-        lambda batches: _edges(batches, window, bits), f"doc {kind}, variant int, edge long, pos int, around int"
+        lambda batches: _edges(batches, window, bits), f"doc {kind}, variant int, edge long, pos int, first int, around int"
     )
 
 
 def repeated_edges(edges: DataFrame) -> DataFrame:
-    """``(edge, source, branches)`` of the edges that two documents have: first coordinate, and whether neighbours differ."""
+    """``(edge, source, source_pos, branches)`` of the edges that two documents have: the smallest id and the first place
+    there, and whether neighbours differ. Where texts share that id, the place is that of any of them.
+    """
     known = edges.groupBy("edge").agg(
-        F.min(F.struct("doc", "pos")).alias("source"),
+        F.min("doc").alias("source"),
         F.max("doc").alias("last"),
+        F.min_by("first", "doc").alias("source_pos"),
         F.min("around").alias("least"),
         F.max("around").alias("most"),
     )
-    return known.filter(F.col("source.doc") < F.col("last")).select(
-        "edge", "source", (F.col("least") != F.col("most")).alias("branches")
-    )
+    return known.filter("source < last").select("edge", "source", "source_pos", F.expr("least <> most").alias("branches"))
 
 
 def later_edges(edges: DataFrame, known: DataFrame) -> DataFrame:
-    """``(doc, variant, pos, source, branches)`` of the windows that a smaller id has too; ``known`` is stored."""
+    """``(doc, variant, pos, source, source_pos, branches)`` of the windows that a smaller id has too; ``known`` is stored."""
     return (
         edges.select("doc", "variant", "edge", "pos")
         .join(known, "edge")
-        .filter(F.col("source.doc") < F.col("doc"))
-        .select("doc", "variant", "pos", "source", "branches")
+        .filter("source < doc")
+        .select("doc", "variant", "pos", "source", "source_pos", "branches")
     )
 
 
 def repeated_paths(texts: DataFrame, window: int = WINDOW, bits: int = 64) -> DataFrame:
-    """Paths of repeated windows in ``candidate_texts``: ``(doc, variant, start, n, source, source_start)``.
+    """Repeated spans in ``candidate_texts``, by hash: ``(doc, variant, start, n, source, source_start)``.
 
     ``start`` and ``n`` count words; the same ``n`` words begin at ``source_start`` of the source, which has a smaller id.
     """
     edges = window_edges(texts, window, bits)
     later = later_edges(edges, step(repeated_edges(edges), "edges"))
     order = Window.partitionBy("doc", "variant").orderBy("pos")
-    previous = F.lag(F.struct("pos", "source", "branches")).over(order)
-    goes_on = (
+    previous = F.lag(F.struct("pos", "source", "source_pos", "branches")).over(order)
+    goes_on = F.coalesce(
         (previous["pos"] == F.col("pos") - 1)
-        & (previous["source"]["doc"] == F.col("source.doc"))
-        & (previous["source"]["pos"] == F.col("source.pos") - 1)
-        & ~previous["branches"]
-        & ~F.col("branches")
+        & (previous["source"] == F.col("source"))
+        & (previous["source_pos"] == F.col("source_pos") - 1),
+        F.lit(False),
     )
-    return (
-        later.withColumn("new", F.when(goes_on, 0).otherwise(1))
+    branch = previous["branches"] | F.col("branches")
+    paths = (
+        later.withColumn("leaves", F.when(goes_on, 0).otherwise(1))
+        .withColumn("new", F.when(goes_on & ~branch, 0).otherwise(1))
+        .withColumn("span", F.sum("leaves").over(order))
         .withColumn("path", F.sum("new").over(order))
         .groupBy("doc", "variant", "path")
         .agg(
+            F.min("span").alias("span"),
             F.min("pos").alias("start"),
-            (F.count("*") + window - 1).cast("int").alias("n"),
+            F.count("*").alias("windows"),
             F.min("source").alias("source"),
+            F.min("source_pos").alias("source_start"),
         )
-        .select(
-            "doc", "variant", "start", "n", F.col("source.doc").alias("source"), F.col("source.pos").alias("source_start")
+    )
+    return (
+        paths.groupBy("doc", "variant", "span")
+        .agg(
+            F.min("start").alias("start"),
+            (F.sum("windows") + window - 1).cast("int").alias("n"),
+            F.min("source").alias("source"),
+            F.min("source_start").alias("source_start"),
         )
+        .drop("span")
     )
 
 
@@ -271,17 +299,26 @@ def _digested(places: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def verified(paths: DataFrame, texts: DataFrame) -> DataFrame:
-    """The paths with ``uid``, and ``same``: whether their words equal those at their source."""
+    """The stored ``paths`` with ``uid``, and ``same``: whether their words equal those at their source.
+
+    A span that a large share of all documents has is one key of the last join. Such keys, each with more than one in
+    ``HEAVY`` of the rows and so fewer than ``HEAVY``, are broadcast with their answer; the others are shuffled.
+    """
     places = paths.select("doc", F.struct("start", "n").alias("span")).union(
         paths.select(F.col("source").alias("doc"), F.struct(F.col("source_start").alias("start"), "n").alias("span"))
     )
     digests = _digested(places, texts)
+    at = ["source", "source_start", "n", "digest"]
+    true = F.lit(True).alias("same")
     source = digests.select(F.col("doc").alias("source"), F.col("start").alias("source_start"), "n", "digest").distinct()
-    return (
-        paths.join(digests, ["doc", "variant", "start", "n"])
-        .join(source.withColumn("same", F.lit(True)), ["source", "source_start", "n", "digest"], "left")
-        .select("doc", "variant", "uid", "start", "n", "source", "source_start", F.coalesce("same", F.lit(False)).alias("same"))
-    )
+    own = step(paths.join(digests, ["doc", "variant", "start", "n"]), "own")
+    most = own.count() // HEAVY
+    heavy = own.groupBy(*at).count().filter(F.col("count") > most).select(*at)
+    heavy = step(heavy.join(source.select(*at, true), at, "left"), "heavy")
+    few = own.join(F.broadcast(heavy), at)
+    rest = own.join(F.broadcast(heavy.select(*at)), at, "left_anti").join(source.select(*at, true), at, "left")
+    columns = ["doc", "variant", "uid", "start", "n", "source", "source_start", F.coalesce("same", F.lit(False)).alias("same")]
+    return few.select(*columns).union(rest.select(*columns))
 
 
 def _window_by_window(failed: DataFrame, texts: DataFrame, window: int, bits: int) -> DataFrame:

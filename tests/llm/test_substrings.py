@@ -119,3 +119,11 @@ def test_a_line_that_all_texts_share_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_spans_of_few_and_of_many_texts_are_judged_alike(spark, tmp_path, monkeypatch):
+    shared = prose(78, 20)
+    rows = [(i, f"{prose(i, 15)} {shared} {i}") for i in range(12)]
+    rows += [(20 + i, f"{i} {prose(i // 2 + 200, 18)} {i}") for i in range(6)]
+    monkeypatch.setattr(substrings, "HEAVY", 3)  # only the shared passage holds a third of the spans
+    assert run(spark, tmp_path, rows) == plain(rows)
